@@ -1,0 +1,33 @@
+"""Where intermediate tables go, so that lost executors cost no recomputed lineage."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; a local one of this session where it is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/seamark/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` as Parquet in the shared folder and returns a reader of the files."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
