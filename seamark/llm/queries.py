@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seamark.llm import packing, quality, storage, token_files
+from seamark.llm import licenses, mixing, packing, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,3 +21,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = storage.new_path(spark, "tokens")
     token_files.write_token_files(storage.documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.ids_crc32(token_files.read_token_files(spark, path))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(storage.documents(spark, sf_dir)))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return urls.filter_urls(pages, urls.junk_urls(pages)).drop("possible")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(storage.documents(spark, sf_dir))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from seamark.llm import queries as q
+from seamark.llm.license_sql import license_sql
+from seamark.llm.urls import url_sql
 
 
 def queries() -> dict:
@@ -10,4 +12,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_license_scan": license_sql(), "op6_url_filter": url_sql()}
