@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seamark.llm import licenses, mixing, packing, quality, storage, token_files, urls
+from seamark.llm import langid, licenses, mixing, packing, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,3 +35,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(storage.documents(spark, sf_dir))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = storage.documents(spark, sf_dir)
+    model = langid.fit(docs.where(F.col("lang").isNotNull() & ~langid.held_out(F.col("doc_id"))))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
