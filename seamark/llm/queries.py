@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import langid, licenses, mixing, packing, quality, storage, token_files, urls
+from seamark.llm import langid, licenses, mixing, near_dups, packing, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,3 +42,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(F.col("lang").isNotNull() & ~langid.held_out(F.col("doc_id"))))
     found = langid.identify(docs, model)
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(storage.documents(spark, sf_dir), shingle=2, percent=80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
