@@ -38,11 +38,11 @@ def hot_regions(rows: DataFrame) -> DataFrame:
     return materialize(counted.select("k0", F.col("member.id").alias("hot_id"), F.col("member.size").alias("hot_size")), "hot")
 
 
-def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b of items whose set sizes allow ``percent`` similarity. rows: k0..k3, id, size."""
+def candidate_pairs(rows: DataFrame, percent: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Distinct pairs a < b of items whose set sizes allow ``percent`` similarity. rows: the keys, id, size."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*KEYS, "id", "size", "hot_id", "hot_size"]
+        names = [*keys, "id", "size", "hot_id", "hot_size"]
         past = {n: np.empty(0, np.int64) for n in names}
         heads: dict[str, tuple[int, int, int]] = {}  # of the region that the last row is in: key, id, size
         for batch in batches:
@@ -57,7 +57,7 @@ def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
                 at = at[col["k0"][at] == col["k0"][at - back]]
                 found.append((ids[at], ids[at - back], sizes[at], sizes[at - back]))
             new = np.arange(old, total)
-            for k in KEYS:
+            for k in keys:
                 key = col[k][old:]
                 first = np.r_[True, key[1:] != key[:-1]]
                 start = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
@@ -76,9 +76,9 @@ def candidate_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
     hot = hot_regions(rows)
     told = rows.join(F.broadcast(hot), "k0", "left")  # under a thousand rows, or HOT_SHARE regions at most
-    told = told.select(*KEYS, "id", "size", F.coalesce("hot_id", F.lit(0)).alias("hot_id"), F.coalesce("hot_size", F.lit(0)).alias("hot_size"))
-    deal = F.when(F.col("hot_size") > 0, F.xxhash64("k0", "k2")).otherwise(F.col("k0"))
-    return told.repartition(deal).sortWithinPartitions(*KEYS, "id").mapInArrow(meet, "a long, b long").distinct()
+    told = told.select(*keys, "id", "size", F.coalesce("hot_id", F.lit(0)).alias("hot_id"), F.coalesce("hot_size", F.lit(0)).alias("hot_size"))
+    deal = F.when(F.col("hot_size") > 0, F.xxhash64("k0", keys[len(keys) // 2])).otherwise(F.col("k0"))
+    return told.repartition(deal).sortWithinPartitions(*keys, "id").mapInArrow(meet, "a long, b long").distinct()
 
 
 def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:

@@ -34,6 +34,8 @@ class PieceEncoder:
         self.inner: dict[str, bytes] = {}
         self.old_heads: dict[str, bytes] = {}
         self.old_inner: dict[str, bytes] = {}
+        self.mark_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
+        self.mark = token.content
         self.newline = self.plain("\n")
 
     def plain(self, text: str) -> bytes:
@@ -42,7 +44,7 @@ class PieceEncoder:
     @staticmethod
     def even(text: str) -> bool:
         """Whether all three kinds of seam hold in the text."""
-        return not (text[:1].isspace() or text[-1:].isspace() or RUNS.search(text) or MARKS.search(text))
+        return not (text[:1].isspace() or text[-1:].isspace() or RUNS.search(text) or MARKS.search(text) or "<|" in text)
 
     @staticmethod
     def cut(text: str) -> list[list[str]]:
@@ -57,25 +59,23 @@ class PieceEncoder:
         cache.update({p: old[p] for p in known})
         return list(new - known)
 
-    def learn(self, cache: dict[str, bytes], pieces: list[str], spelled: list[str], between: str) -> None:
-        """Encodes many pieces as one text, and gives each the ids that end inside it."""
+    def learn(self, cache: dict[str, bytes], pieces: list[str], spelled: list[str]) -> None:
+        """Encodes many pieces at once, with a special token of the vocabulary between them."""
         for at in range(0, len(pieces), JOINED):
-            some = spelled[at : at + JOINED]
-            found = self.tokenizer.encode(between.join(some), add_special_tokens=False)
+            [found] = self.tokenizer.encode_batch_fast([self.mark.join(spelled[at : at + JOINED])], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            ends = np.array([e for _, e in found.offsets], np.int64)
-            lengths = np.array([len(p) for p in some], np.int64)
-            stops = np.cumsum(lengths + len(between)) - len(between)
-            low = np.searchsorted(ends, stops - lengths, "right").tolist()
-            high = np.searchsorted(ends, stops, "right").tolist()
-            for piece, a, b in zip(pieces[at : at + JOINED], low, high, strict=True):
-                cache[piece] = ids[a:b].tobytes()
+            bounds = np.flatnonzero(ids == self.mark_id)
+            low, high = np.concatenate([[0], bounds + 1]).tolist(), [*bounds.tolist(), len(ids)]
+            coded = ids.tobytes()
+            cache.update({p: coded[4 * a : 4 * b] for p, a, b in zip(pieces[at : at + JOINED], low, high, strict=True)})
 
     def uneven(self, text: str) -> bytes:
         """Any text, cut at seams before spaces."""
+        if self.mark in text:
+            return self.plain(text)
         head, *rest = SEAM.split(text)
         tail = [rest.pop()] if rest and rest[-1][-1].isspace() else []
-        self.learn(self.inner, fresh := [p[1:] for p in rest if p[1:] not in self.inner], [" " + p for p in fresh], "")
+        self.learn(self.inner, fresh := [p[1:] for p in rest if p[1:] not in self.inner], [" " + p for p in fresh])
         return b"".join([self.plain(head), *(self.inner[p[1:]] for p in rest), *map(self.plain, tail)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -86,12 +86,10 @@ class PieceEncoder:
         heads, inner = self.heads, self.inner
         lines = [line for row in rows if row for line in row]
         new = self.recall(heads, self.old_heads, {line[0] for line in lines} - {""})
-        self.learn(heads, new, new, "\n")
+        self.learn(heads, new, new)
         heads[""] = b""
         new = self.recall(inner, self.old_inner, set().union(*(line[1:] for line in lines)))
-        spaced, marked = [p for p in new if p[0] > COMMA], [p for p in new if p[0] <= COMMA]
-        self.learn(inner, spaced, [" " + p for p in spaced], "")
-        self.learn(inner, marked, [p[1:] for p in marked], "\n")
+        self.learn(inner, new, [p[1:] if p[0] <= COMMA else " " + p for p in new])
         get, found = inner.__getitem__, []
         for text, row in zip(texts, rows, strict=True):
             if row is None:
