@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files, urls
+from seamark.llm import embeddings, langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,3 +53,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, removed lines, and length and crc32 of the text that is left."""
     left = line_dedup.dedup_lines(storage.documents(spark, sf_dir))
     return left.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.crc32("text").alias("text_crc32"))
+
+
+def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
