@@ -111,9 +111,10 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
     return docs.select(*carry, "text").mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), MEASURE_SCHEMA]))
 
 
-def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20) -> DataFrame:
-    """Per row: row_id, doc_id, the measures, base_failed, boilerplate_words and kept."""
-    base = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("\0")).alias("host"), "text")
+def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
+    """Per row: row_id (the column ``row``, if one is named), doc_id, the measures, base_failed, boilerplate_words and kept."""
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    base = docs.select(number.alias("row_id"), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("\0")).alias("host"), "text")
     rows = materialize(measure(base, ["row_id", "doc_id", "host"]), "measures")
     # distinct texts, so that a copied document counts once
     texts = rows.groupBy("host", "text_hash").agg(F.min("row_id").alias("row_id"))

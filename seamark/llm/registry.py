@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from seamark.llm import queries as q
 from seamark.llm.license_sql import license_sql
 from seamark.llm.urls import url_sql
 
 
 def queries() -> dict:
-    return {name: f for name, f in vars(q).items() if name.startswith("op")}
+    return {name: f for name, f in vars(q).items() if name.startswith("op")} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
