@@ -23,7 +23,8 @@ def armored_hex(armor: Column) -> Column:
     """Hexadecimal digits of an armored payload; null if a character is invalid."""
     coded = F.translate(armor, ARMOR, "".join(BASE64[v] for v in ARMOR_VALUES))
     padded = F.concat(coded, F.repeat(F.lit("A"), F.pmod(-F.length(armor), F.lit(4)).cast("int")))
-    return F.when(F.rlike(armor, F.lit("^[0-w]+$")), F.hex(F.unbase64(padded)))
+    digits = F.substring(F.hex(F.unbase64(padded)), F.lit(1), F.ceil(F.length(armor) * 1.5).cast("int"))
+    return F.when(F.rlike(armor, F.lit("^[0-w]+$")), digits)
 
 
 def bit_length(armor: Column, fill: Column) -> Column:

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seamark.operators import decode, dedup
+from seamark.plans import base, text_queries
+
+MODULES = (text_queries,)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """Lines of all kinds, decoded; positions without repetitions."""
+    parsed = decode.parse(base.mixed_lines(base.Tables(spark, sf_dir)))
+    return dedup.dedup(decode.positions(parsed), "positions", ("source", "line"))
 
 
 def queries() -> dict:
-    return {}
+    return dict(base.QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(base.SQL)
