@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions import bits, labels, sentences, spatial
+from seamark.functions.settle import settled
 from seamark.operators import layouts
 
 KINDS = {"positions": "position", "statics": "static", "meteo": "meteo", "binary": "binary", "atons": "aton", "other": "other"}
@@ -20,15 +21,16 @@ UNDER_WAY = labels.NAV_STATUS[0]
 def parse(lines: DataFrame) -> DataFrame:
     """Adds sentence, station, count, digits, bit_length, msg_type, mmsi, dac, fid and kind to rows with a payload."""
     line = F.trim("payload")
-    split = lines.withColumn("sentence", sentences.after_tag_block(line)).withColumn("station", sentences.tag_field(sentences.tag_block(line), "s"))
-    text = F.col("sentence")
-    armored = split.withColumn("armor", sentences.armored(text)).withColumn("count", F.when(F.col("armor").isNotNull(), sentences.whole(sentences.field(text, 1))))
-    unpacked = armored.withColumn("digits", bits.armored_hex(F.col("armor"))).withColumn("bit_length", bits.bit_length(F.col("armor"), sentences.fill_bits(text)))
-    digits = F.col("digits")
-    typed = unpacked.withColumn("msg_type", F.when((F.col("count") == 1) & (F.col("bit_length") >= 6), bits.unsigned(digits, 0, 6)).cast("int"))
+    split = settled(lines, sentence=sentences.after_tag_block(line), station=sentences.tag_field(sentences.tag_block(line), "s"))
+    text, digits = F.col("sentence"), F.col("digits")
+    found = settled(split, armor=sentences.armored(text), count=sentences.whole(sentences.field(text, 1)), fill=sentences.fill_bits(text))
+    armored = F.col("armor").isNotNull()
+    unpacked = settled(found, digits=bits.armored_hex(F.col("armor")), bit_length=bits.bit_length(F.col("armor"), F.col("fill")), count=F.when(armored, F.col("count")))
+    whole = (F.col("count") == 1) & (F.col("bit_length") >= 6)
+    typed = settled(unpacked, msg_type=F.when(whole, bits.unsigned(digits, 0, 6)).cast("int"), mmsi=bits.unsigned(digits, 8, 30))
     is_8 = F.col("msg_type") == 8
-    named = typed.withColumn("mmsi", bits.unsigned(digits, 8, 30)).withColumn("dac", F.when(is_8, bits.unsigned(digits, 40, 10)).cast("int")).withColumn("fid", F.when(is_8, bits.unsigned(digits, 50, 6)).cast("int"))
-    return named.withColumn("kind", kind())
+    named = settled(typed, dac=F.when(is_8, bits.unsigned(digits, 40, 10)).cast("int"), fid=F.when(is_8, bits.unsigned(digits, 50, 6)).cast("int"))
+    return settled(named, kind=kind()).drop("fill")
 
 
 def kind() -> Column:

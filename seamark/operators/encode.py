@@ -24,11 +24,23 @@ def sentence(fields: Sequence[tuple[Column | int | str, int]], channel: str = "A
     coded, width = message(fields)
     fill = -width % 6
     body = F.concat(F.lit(f"AIVDM,1,1,,{channel},"), bits.armor_bits(coded, width), F.lit(f",{fill}"))
-    return sentences.closed(body, "!")
+    return closed_once(body)
+
+
+def armored_sentence(coded: Column, width: Column, longest: int, channel: str = "A") -> Column:
+    """A sentence of ``width`` bits, of at most ``longest``."""
+    armor = F.substring(bits.armor_bits(coded, longest), F.lit(1), F.ceil(width / 6).cast("int"))
+    return closed_once(F.concat(F.lit(f"AIVDM,1,1,,{channel},"), armor, F.lit(","), F.pmod(-width, F.lit(6)).cast("string")))
+
+
+def closed_once(body: Column) -> Column:
+    """``sentences.closed``, with the body as the argument of a lambda function, so that it is written into the plan once."""
+    return F.element_at(F.transform(F.array(body), lambda x: sentences.closed(x, "!")), 1)
 
 
 def tagged(line: Column, station: Column | None = None, seconds: Column | None = None) -> Column:
     """The line with a tag block before it."""
     parts = ([F.concat(F.lit("s:"), station)] if station is not None else []) + ([F.concat(F.lit("c:"), seconds.cast("string"))] if seconds is not None else [])
     tags = F.concat_ws(",", *parts)
-    return F.concat(F.lit("\\"), tags, F.lit("*"), sentences.checksum(tags), F.lit("\\"), line)
+    block = F.element_at(F.transform(F.array(tags), lambda x: F.concat(x, F.lit("*"), sentences.checksum(x))), 1)
+    return F.concat(F.lit("\\"), block, F.lit("\\"), line)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seamark.functions import bits, labels, spatial
+from seamark.functions.settle import settled
 from seamark.operators.decode import UNDER_WAY, eta_ms
 
 # Message type and the kind of row that it gives.
@@ -41,12 +42,13 @@ REQUIRED_ELSE = ("MessageID", "UserID", "PositionAccuracy", "Raim")
 def parse(lines: DataFrame) -> DataFrame:
     """Adds msg (the message type), body (its fields) and kind to rows with a payload."""
     json = F.col("payload")
-    typed = lines.withColumn("msg", F.get_json_object(json, "$.MessageType")).withColumn("meta", F.get_json_object(json, "$.MetaData")).withColumn("message", F.get_json_object(json, "$.Message"))
+    envelope = F.from_json(json, "MessageType STRING, MetaData STRING, Message STRING")
+    typed = settled(settled(lines, envelope=envelope), msg=F.col("envelope.MessageType"), meta=F.col("envelope.MetaData"), message=F.col("envelope.Message")).drop("envelope")
     own = F.lit(None).cast("string")
     for name in MESSAGES:
         own = F.when(F.col("msg") == name, F.get_json_object("message", f"$.{name}")).otherwise(own)
-    read = typed.withColumn("body", F.from_json(F.coalesce(own, F.col("message")), BODY, {"mode": "PERMISSIVE"}))
-    return read.withColumn("kind", kind()).drop("meta", "message")
+    read = settled(typed, body=F.from_json(F.coalesce(own, F.col("message")), BODY, {"mode": "PERMISSIVE"}))
+    return settled(read, kind=kind()).drop("meta", "message")
 
 
 def kind() -> Column:

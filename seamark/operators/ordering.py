@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions import sentences
+from seamark.functions.settle import settled
 
 
 def resolve_timestamps(lines: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def resolve_timestamps(lines: DataFrame) -> DataFrame:
     time before it, so the last line that did anything decides, and one window finds it.
     """
     text = sentences.sentence(F.col("payload"))
-    parsed = lines.select("*", text.alias("__text")).select("*", *parts(F.col("__text")))
+    parsed = settled(settled(lines, __text=text), **parts(F.col("__text")))
     captured, own = F.col("__capture"), F.col("__own")
     fragment = F.coalesce(F.col("__count") > 1, F.lit(False))
     last = F.coalesce(F.col("__number") == F.col("__count"), F.lit(False))
@@ -32,22 +33,20 @@ def resolve_timestamps(lines: DataFrame) -> DataFrame:
     return parsed.withColumn("ts_ms", ts).drop(*[c for c in parsed.columns if c.startswith("__")])
 
 
-def parts(text: Column) -> list[Column]:
-    return [
-        sentences.capture_ms(text).alias("__capture"), sentences.tag_seconds_ms(sentences.prefix(F.col("payload"))).alias("__own"),
-        sentences.is_ais(text).alias("__ais"), sentences.fragment_count(text).alias("__count"),
-        sentences.fragment_number(text).alias("__number"),
-    ]
+def parts(text: Column) -> dict[str, Column]:
+    return {
+        "__capture": sentences.capture_ms(text), "__own": sentences.tag_seconds_ms(sentences.prefix(F.col("payload"))), "__ais": sentences.is_ais(text),
+        "__count": sentences.fragment_count(text), "__number": sentences.fragment_number(text),
+    }
 
 
 def fragments(lines: DataFrame) -> DataFrame:
     """Adds group, count, number, armor and fill of fragmented lines; group is null for all others."""
     text = sentences.sentence(F.col("payload"))
-    cut = lines.withColumn("text", text)
-    text = F.col("text")
-    return cut.select(
-        "*", sentences.fragment_group(text).alias("group"), sentences.fragment_count(text).alias("count"), sentences.fragment_number(text).alias("number"),
-        F.get(F.split(text, ","), F.lit(5)).alias("armor"), sentences.field(text, 6).alias("fill"), sentences.field(text, 0).alias("start"), sentences.field(text, 4).alias("channel"),
+    cut, text = settled(lines, text=text), F.col("text")
+    return settled(
+        cut, group=sentences.fragment_group(text), count=sentences.fragment_count(text), number=sentences.fragment_number(text),
+        armor=F.get(F.split(text, ","), F.lit(5)), fill=sentences.field(text, 6), start=sentences.field(text, 0), channel=sentences.field(text, 4),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamark.functions import times
+from seamark.functions.settle import settled
 from seamark.operators import encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,7 +74,7 @@ def position_fields(msg_type: int = 1) -> list:
 
 
 def class_b_fields() -> list:
-    return [(18, 6), (0, 2), (c("mmsi"), 30), (0, 8), (c("sog_raw"), 10), (c("acc_raw"), 1), (c("lon_raw"), 28), (c("lat_raw"), 27), (c("cog_raw"), 12), (c("heading_raw"), 9), (0, 8), (c("raim_raw"), 1), (0, 20)]
+    return [(18, 6), (0, 2), (c("mmsi"), 30), (0, 8), (c("sog_raw"), 10), (c("acc_raw"), 1), (c("lon_raw"), 28), (c("lat_raw"), 27), (c("cog_raw"), 12), (c("heading_raw"), 9), (0, 14), (c("raim_raw"), 1), (0, 20)]
 
 
 def base_fields() -> list:
@@ -111,19 +112,23 @@ METEO_11 = [(24, "lat_raw // 10"), (25, "lon_raw // 10"), (5, "event_id % 32"),
 
 def meteo_fields(identifier: int) -> list:
     spelled = METEO_31 if identifier == 31 else METEO_11
-    return [(8, 6), (0, 2), (c("mmsi"), 30), (0, 2), (1, 10), (identifier, 6), *[(F.floor(F.expr(x.replace("//", "/"))).cast("long"), width) for width, x in spelled]]
+    return [(8, 6), (0, 2), (c("mmsi"), 30), (0, 2), (1, 10), (identifier, 6), *[(F.expr(x.replace("//", "div")).cast("long"), width) for width, x in spelled]]
 
 
 def mixed_lines(t: Tables) -> DataFrame:
     """One line an event, of a kind that event_id modulo 10 tells, with time, source and order."""
-    s = sightings(t)
     kinds = [position_fields(1), position_fields(3), class_b_fields(), base_fields(), sar_fields(), binary_fields(), aton_fields(), safety_fields()]
-    line = F.lit("not a sentence at all")
-    for k, fields in enumerate(kinds):
-        line = F.when(c("event_id") % 10 == k, encode.sentence(fields)).otherwise(line)
+    coded = [encode.message(fields) for fields in kinds]
+    longest = max(width for _, width in coded)
+    which = c("event_id") % 10
+    bits, width = F.lit(""), F.lit(0)
+    for k, (column, size) in enumerate(coded):
+        bits, width = F.when(which == k, column).otherwise(bits), F.when(which == k, size).otherwise(width)
     station = F.concat(F.lit("STN"), (c("user_id") % 7).cast("string"))
-    tagged = F.when(c("event_id") % 10 < 8, encode.tagged(line, station, F.expr("ts_ms div 1000"))).otherwise(F.when(c("event_id") % 10 == 8, "").otherwise(line))
-    return s.select("*", tagged.alias("payload"), F.concat(F.lit("feed"), (c("user_id") % 3).cast("string")).alias("source"), c("event_id").alias("line"))
+    tagged = encode.tagged(c("payload"), station, F.expr("ts_ms div 1000"))
+    written = settled(sightings(t), bits=bits, width=width, source=F.concat(F.lit("feed"), (c("user_id") % 3).cast("string")), line=c("event_id"))
+    sealed = settled(written, payload=encode.armored_sentence(c("bits"), c("width"), longest)).drop("bits", "width")
+    return settled(sealed, payload=F.when(which < 8, tagged).when(which == 8, "").otherwise("not a sentence at all"))
 
 
 KIND_SQL = "case when event_id % 10 < 5 then 'position' when event_id % 10 = 5 then 'binary' when event_id % 10 = 6 then 'aton' when event_id % 10 = 7 then 'other' else 'failed' end"
