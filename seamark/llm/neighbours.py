@@ -2,10 +2,11 @@
 
 A row is one item in one order (tree or band): four nested prefix keys k0 to k3, each a hash of more
 of the signature than the one before. Rows are dealt by k0 and sorted by all keys, so that a region
-with a common prefix lies together, and rows with longer common prefixes lie closer. Each row meets
-the WINDOW rows before it that share its k0, and the first row of its region at every depth. So small
-regions give all their pairs, crowded ones only pairs at the depth that tells their rows apart, and
-the number of candidates grows with the number of rows. Batches stream through with the last rows and
+with a common prefix lies together, and rows with longer common prefixes lie closer. The first rows of
+a region, WINDOW of them, meet one another; a later row meets the one before it, whose common prefix
+with it is the longest, and the first rows of its region at the least and at the greatest depth. So
+small regions give all their pairs, crowded ones only pairs at the depth that tells their rows apart,
+and the number of candidates grows with the number of rows. Batches stream through with the last rows and
 the region heads carried over; no region is held in memory.
 
 A region with over a thousandth of all rows is dealt by its deeper keys instead, and each of its rows
@@ -44,7 +45,7 @@ def candidate_pairs(rows: DataFrame, percent: int, keys: tuple[str, ...] = KEYS)
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*keys, "id", "size", "hot_id", "hot_size"]
         past = {n: np.empty(0, np.int64) for n in names}
-        heads: dict[str, tuple[int, int, int]] = {}  # of the region that the last row is in: key, id, size
+        heads: dict[str, tuple[int, int, int, int]] = {}  # of the region that the last row is in: key, first id and size, rows so far
         for batch in batches:
             if not len(batch):
                 continue
@@ -52,20 +53,21 @@ def candidate_pairs(rows: DataFrame, percent: int, keys: tuple[str, ...] = KEYS)
             col = {n: np.concatenate([past[n], batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64)]) for n in names}
             ids, sizes, total = col["id"], col["size"], len(col["id"])
             found: list[tuple[np.ndarray, ...]] = []
-            for back in range(1, min(WINDOW, total - 1) + 1):
-                at = np.arange(max(old, back), total)
-                at = at[col["k0"][at] == col["k0"][at - back]]
-                found.append((ids[at], ids[at - back], sizes[at], sizes[at - back]))
             new = np.arange(old, total)
-            for k in keys:
+            for k in (keys[0], keys[-1]):
                 key = col[k][old:]
                 first = np.r_[True, key[1:] != key[:-1]]
                 start = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
-                head, head_size = ids[new][start], sizes[new][start]
+                head, head_size, place = ids[new][start], sizes[new][start], np.arange(len(key)) - start
                 if k in heads and heads[k][0] == key[0]:
-                    head, head_size = np.where(start == 0, heads[k][1], head), np.where(start == 0, heads[k][2], head_size)
-                heads[k] = (int(key[-1]), int(head[-1]), int(head_size[-1]))
+                    begun = start == 0
+                    head, head_size, place = np.where(begun, heads[k][1], head), np.where(begun, heads[k][2], head_size), place + begun * heads[k][3]
+                heads[k] = (int(key[-1]), int(head[-1]), int(head_size[-1]), int(place[-1]) + 1)
                 found.append((ids[new], head, sizes[new], head_size))
+                if k == keys[0]:
+                    for back in range(1, WINDOW + 1):
+                        at = new[(place >= back) & ((place < WINDOW) | (back == 1))]
+                        found.append((ids[at], ids[at - back], sizes[at], sizes[at - back]))
             hot = new[col["hot_size"][new] > 0]
             found.append((ids[hot], col["hot_id"][hot], sizes[hot], col["hot_size"][hot]))
             a, b, sa, sb = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -94,7 +96,7 @@ def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
 
 
-def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_set: Callable[[bytes], np.ndarray], percent: int, block: int = 256) -> DataFrame:
+def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_set: Callable[[bytes], np.ndarray], percent: int, block: int = 64) -> DataFrame:
     """The pairs whose sets have 100 * intersection >= percent * union.
 
     Pairs are grouped by components of the candidate graph, large ones cut into salted blocks, so that
