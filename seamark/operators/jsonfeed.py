@@ -93,13 +93,13 @@ def statics(parsed: DataFrame, eta_year: int) -> DataFrame:
     b = F.col("body")
     ship = F.col("msg") == "ShipStaticData"
     part_b = ~ship & b["PartNumber"]
-    sizes = F.when(ship, b["Dimension"]).when(part_b, b["ReportB.Dimension"])
+    sizes = F.when(ship, b["Dimension"]).when(part_b, b["ReportB"]["Dimension"])
     eta = b["Eta"]
     return parsed.where("kind = 'static'").select(
         *keys(parsed), F.when(ship, "Class A").otherwise("Class B").alias("ais_class"), F.when(ship, bits.null_if(b["ImoNumber"], 0)).alias("imo_number"),
-        bits.trimmed(F.when(ship, b["CallSign"]).when(part_b, b["ReportB.CallSign"])).alias("call_sign"),
-        bits.trimmed(F.when(ship, b["Name"]).when(~part_b, b["ReportA.Name"])).alias("name"),
-        F.when(ship, labels.ship_type(F.coalesce(b["Type"], F.lit(0)))).when(part_b & b["ReportB.ShipType"].isNotNull(), labels.ship_type(b["ReportB.ShipType"])).otherwise("").alias("ship_type"),
+        bits.trimmed(F.when(ship, b["CallSign"]).when(part_b, b["ReportB"]["CallSign"])).alias("call_sign"),
+        bits.trimmed(F.when(ship, b["Name"]).when(~part_b, b["ReportA"]["Name"])).alias("name"),
+        F.when(ship, labels.ship_type(F.coalesce(b["Type"], F.lit(0)))).when(part_b & b["ReportB"]["ShipType"].isNotNull(), labels.ship_type(b["ReportB"]["ShipType"])).otherwise("").alias("ship_type"),
         *[sizes[k].cast("int").alias(f"dimension_to_{n}") for k, n in (("A", "bow"), ("B", "stern"), ("C", "port"), ("D", "starboard"))],
         F.when(ship, b["MaximumStaticDraught"]).alias("draught_m"), bits.trimmed(F.when(ship, b["Destination"])).alias("destination"),
         F.when(ship, eta_ms(eta["Month"], eta["Day"], eta["Hour"], eta["Minute"], F.lit(eta_year))).alias("eta_ms"),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seamark.operators import decode, dedup
-from seamark.plans import base, decode_queries, ordered_queries, partition_queries, text_queries
+from seamark.plans import base, decode_queries, json_queries, ordered_queries, partition_queries, text_queries
 
-MODULES = (text_queries, decode_queries, ordered_queries, partition_queries)
+MODULES = (text_queries, decode_queries, ordered_queries, partition_queries, json_queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
