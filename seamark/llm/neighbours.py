@@ -31,16 +31,18 @@ KEYS = ("k0", "k1", "k2", "k3")
 HOT_SHARE, SAMPLED = 1000, 32
 
 
-def hot_regions(rows: DataFrame) -> DataFrame:
-    """Regions with about a thousandth of all rows or more, with a member each; judged on a thirty-second of the items."""
-    some = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(SAMPLED)) == 0)
+def hot_regions(some: DataFrame) -> DataFrame:
+    """Regions with about a thousandth of all rows or more, with a member each; judged on the rows of a share of the items."""
     least = max(64, some.count() // HOT_SHARE)
     counted = some.groupBy("k0").agg(F.count("*").alias("n"), F.min(F.struct("id", "size")).alias("member")).where(F.col("n") >= least)
     return materialize(counted.select("k0", F.col("member.id").alias("hot_id"), F.col("member.size").alias("hot_size")), "hot")
 
 
-def candidate_pairs(rows: DataFrame, percent: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Distinct pairs a < b of items whose set sizes allow ``percent`` similarity. rows: the keys, id, size."""
+def candidate_pairs(items: DataFrame, expand: Callable[[DataFrame], DataFrame], percent: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """Distinct pairs a < b of items whose set sizes allow ``percent`` similarity.
+
+    ``items`` has an id, and ``expand`` gives the rows of items: the keys, id and size.
+    """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*keys, "id", "size", "hot_id", "hot_size"]
@@ -76,8 +78,9 @@ def candidate_pairs(rows: DataFrame, percent: int, keys: tuple[str, ...] = KEYS)
             past = {n: v[-WINDOW:] for n, v in col.items()}
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, j])) for j in (0, 1)], names=["a", "b"])
 
-    hot = hot_regions(rows)
-    told = rows.join(F.broadcast(hot), "k0", "left")  # under a thousand rows, or HOT_SHARE regions at most
+    some = items.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(SAMPLED)) == 0)
+    hot = hot_regions(materialize(expand(some).select("k0", "id", "size"), "some-rows"))
+    told = expand(items).join(F.broadcast(hot), "k0", "left")  # under a thousand rows, or HOT_SHARE regions at most
     told = told.select(*keys, "id", "size", F.coalesce("hot_id", F.lit(0)).alias("hot_id"), F.coalesce("hot_size", F.lit(0)).alias("hot_size"))
     deal = F.when(F.col("hot_size") > 0, F.xxhash64("k0", keys[len(keys) // 2])).otherwise(F.col("k0"))
     return told.repartition(deal).sortWithinPartitions(*keys, "id").mapInArrow(meet, "a long, b long").distinct()
@@ -96,22 +99,24 @@ def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
 
 
-def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_set: Callable[[bytes], np.ndarray], percent: int, block: int = 64) -> DataFrame:
+def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets: Callable[[list[bytes]], list[np.ndarray]], percent: int, block: int = 64, together: int = 2000) -> DataFrame:
     """The pairs whose sets have 100 * intersection >= percent * union.
 
-    Pairs are grouped by components of the candidate graph, large ones cut into salted blocks, so that
-    an item's data goes to its block once, not once a pair. ``fetch`` takes rows (id, blocks) and
+    Pairs are grouped by components of the candidate graph, large ones cut into salted parts; parts are
+    dealt to blocks of about ``together`` pairs, so that an item's data goes to its block once, not once a pair. ``fetch`` takes rows (id, blocks) and
     returns (id, blocks, data).
     """
     parts = components(pairs)
     cut = materialize(parts.join(parts.groupBy("component").agg(F.ceil(F.count("*") / block).alias("cuts")), "component").select("node", "component", "cuts"), "cuts")
     of_b = pairs.join(cut, pairs.b == cut.node)  # the larger end of a pair is never the smallest node of its component
-    placed = materialize(of_b.select("a", "b", F.xxhash64("component", F.pmod(F.xxhash64("b"), F.col("cuts"))).alias("block")), "placed")
+    blocks = max(64, pairs.count() // together)
+    part = F.xxhash64("component", F.pmod(F.xxhash64("b"), F.col("cuts")))
+    placed = materialize(of_b.select("a", "b", F.pmod(part, F.lit(blocks)).alias("block")), "placed")
     wanted = placed.select(F.col("a").alias("id"), "block").union(placed.select("b", "block")).groupBy("id").agg(F.collect_set("block").alias("blocks"))
     data = fetch(materialize(wanted, "wanted")).select(F.explode("blocks").alias("block"), "id", "data")
 
     def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        sets = {i: to_set(d) for i, d in zip(right["id"], right["data"], strict=True)}
+        sets = dict(zip(right["id"], to_sets(list(right["data"])), strict=True))
         kept = []
         for a, b in zip(left["a"], left["b"], strict=True):
             x, y = sets[a], sets[b]
