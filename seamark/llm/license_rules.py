@@ -1,7 +1,7 @@
 """Signature rules for license notices.
 
 Patterns are over normalised words: one space stands between two words, and punctuation is gone, so
-"Apache-2.0" reads "apache 2 0". A rule is tried only on texts that hold its keyword. Priorities:
+"Apache-2.0" reads "apache 2 0". A rule is tried only on texts that hold its keyword and one of its names. Priorities:
 1 for a machine-readable tag, 2 for a grant or a clause of a license text, 3 for a title or a
 reference, 4 for a hint. Where one detection's words contain another's, the better priority stays;
 with equal priorities the longer one, then the rule that comes first.
@@ -9,6 +9,7 @@ with equal priorities the longer one, then the rule that comes first.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 #: label; tag words; name as written in prose. A space inside an optional group belongs to the group.
@@ -158,6 +159,7 @@ class Rule:
     priority: int
     score: float
     keyword: str
+    names: tuple[str, ...]
     pattern: str
     base: bool
 
@@ -171,26 +173,64 @@ def literal(words: str) -> str:
     return " " + words.replace(" ", "  ") + " "
 
 
-def key_of(words: str) -> str:
-    """The longest plain word of a pattern outside its groups and classes; "licen" if it has none."""
-    depth, plain = 0, []
-    for at, c in enumerate(words):
-        depth += (c in "([") - (c in ")]")
-        inside = depth or c in "()[]?" or words[at + 1 : at + 2] == "?"
-        plain.append(" " if inside else c)
-    found = [w for w in "".join(plain).split() if w.isalpha() and len(w) > 2]
-    return literal(max(found, key=len)) if found else " licen"
+#: Words too common in rules to tell names apart.
+PLAIN = ("license", "version", "public", "software", "open")
+
+
+def top_level(pattern: str) -> list[tuple[str, bool, bool]]:
+    """The pattern's parts (text, is a group, may be absent); nested groups stay inside their part."""
+    parts, depth, start = [], 0, 0
+    for at, c in enumerate(pattern):
+        if c == "(" and not depth:
+            parts.append((pattern[start:at], False, False))
+            start = at + 3
+        depth += (c == "(") - (c == ")")
+        if c == ")" and not depth:
+            parts.append((pattern[start:at], True, pattern[at + 1 : at + 2] in ("?", "{")))
+            start = at + 1
+    return [*parts, (pattern[start:], False, False)]
+
+
+def word_of(plain: str) -> str:
+    """The most telling word of literal text; "" without one."""
+    words = [w for w in re.sub(r" ?\S\?|\{\d+,\d+\}|^\?|\[[^]]*\]", " ", plain.replace(" ?", "\0")).replace("\0", " ").split() if w.isalnum() and len(w) > 1]
+    return max(words, key=lambda w: (w not in PLAIN and not w.isdigit(), len(w)), default="")
+
+
+def names_of(pattern: str) -> tuple[str, ...]:
+    """Words one of which stands in every match of the pattern."""
+    parts = top_level(pattern)
+    plain = word_of(" ".join(text.replace(" ?", "\0") and text for text, group, _ in parts if not group))
+    if plain and plain not in PLAIN and not plain.isdigit():
+        return (plain,)
+    for text, group, absent in parts:
+        if group and not absent:
+            return tuple(dict.fromkeys(word_of("".join(t for t, g, _ in top_level(choice) if not g)) for choice in choices(text)))
+    return (plain,)
+
+
+def choices(text: str) -> list[str]:
+    """Alternatives of a group, at its own level."""
+    found, depth = [""], 0
+    for c in text:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            found.append("")
+        else:
+            found[-1] += c
+    return found
 
 
 def rules() -> list[Rule]:
-    found: list[tuple[str, int, float, str, str, bool]] = [(label, 5, score, phrase, phrase, True) for label, phrase, score in BASE]
+    found = [(label, 5, score, literal(phrase), (literal(phrase),), phrase, True) for label, phrase, score in BASE]
     for label, priority, score, keyword, pattern in (x.split("; ") for x in CLAUSES.strip().split("\n")):
-        found.append((label, int(priority), float(score), keyword, pattern, False))
+        found.append((label, int(priority), float(score), literal(keyword), (literal(keyword),), pattern, False))
     for label, tag, name in (x.split("; ") for x in LICENSES.strip().split("\n")):
+        names = tuple(" " + w for w in names_of(name))
         end = "(?: licen[cs]e)?(?: only)?(?: or(?: any)? later(?: version)?)?"
-        found.append((label, 1, 1.0, "spdx", f"spdx license identifier {tag}", False))
-        found.append((label, 2, 0.9, "under", f"{VERBS} under(?: the)?(?: terms of)?(?: the)?(?: gnu)? {name}{end}", False))
-        found.append((label, 3, 0.7, key_of(name), f"{name} licen[cs]e", False))
-        found.append((label, 3, 0.6, "under", f"(?:subject to|governed by|under)(?: the)?(?: terms(?: and conditions)? of)?(?: the)? {name}{end}", False))
-        found.append((label, 3, 0.75, " licen", f"licen[cs]e(?: is| name| type| id)? {tag}", False))
-    return [Rule(n, label, priority, score, keyword if keyword[0] == " " else literal(keyword), spaced(pattern), base) for n, (label, priority, score, keyword, pattern, base) in enumerate(found)]
+        found.append((label, 1, 1.0, literal("spdx"), (" " + tag.split(" ")[0],), f"spdx license identifier {tag}", False))
+        found.append((label, 2, 0.9, literal("under"), names, f"{VERBS} under(?: the)?(?: terms of)?(?: the)?(?: gnu)? {name}{end}", False))
+        found.append((label, 3, 0.7, " licen", names, f"{name} licen[cs]e", False))
+        found.append((label, 3, 0.6, literal("under"), names, f"(?:subject to|governed by|under)(?: the)?(?: terms(?: and conditions)? of)?(?: the)? {name}{end}", False))
+        found.append((label, 3, 0.75, " licen", (" " + tag.split(" ")[0],), f"licen[cs]e(?: is| name| type| id)? {tag}", False))
+    return [Rule(n, label, priority, score, keyword, names, spaced(pattern), base) for n, (label, priority, score, keyword, names, pattern, base) in enumerate(found)]

@@ -11,9 +11,9 @@ def quoted(s: str) -> str:
 
 
 def license_sql() -> str:
-    values = ",\n".join(f"({r.number}, {quoted(r.label)}, {r.priority}, {r.score}, {quoted(r.keyword)}, {quoted(r.pattern)}, {r.base})" for r in rules())
+    values = ",\n".join(f"({r.number}, {quoted(r.label)}, {r.priority}, {r.score}, {quoted(r.keyword)}, [{', '.join(map(quoted, r.names))}], {quoted(r.pattern)}, {r.base})" for r in rules())
     return rf"""
-with rules(rule, label, priority, score, keyword, pattern, base) as (values {values}),
+with rules(rule, label, priority, score, keyword, names, pattern, base) as (values {values}),
 words as (
   select row_number() over () as rid, doc_id,
          trim(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SEPARATORS}', '  ', 'g'), ' ') as w
@@ -23,7 +23,7 @@ tried as (
   select rid, rule, label, priority, cast(score as double) as score, base,
          list_transform(regexp_extract_all(norm, pattern), lambda s: (length(s) - length(replace(s, ' ', ''))) // 2) as sizes,
          list_transform(string_split_regex(norm, pattern), lambda s: (length(s) - length(replace(s, ' ', ''))) // 2) as gaps
-  from norm join rules on contains(norm, keyword)),
+  from norm join rules on contains(norm, keyword) and list_bool_or(list_transform(names, lambda x: contains(norm, x)))),
 numbered as (select *, unnest(generate_series(1, len(sizes))) as i from tried where len(sizes) > 0),
 spans as (
   select rid, rule, label, priority, score, base,
