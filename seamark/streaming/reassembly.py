@@ -16,8 +16,12 @@ STATE = "first_ts long, tags string, start string, channel string, expected int,
 OUT = "source string, ts_ms long, body string, tags string, complete boolean, raw string"
 
 
-def reassemble_stream(lines: DataFrame, wait: str = "10 minutes", timeout_ms: int = 600_000) -> DataFrame:
-    """source, ts_ms and payload of whole messages; those whose fragments don't all come in time are dropped to rows with complete = false."""
+def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 600_000) -> DataFrame:
+    """source, ts_ms and payload of whole messages; fragments whose message isn't whole in time are rows with complete = false.
+
+    Time is that of the lines: a message waits until the watermark, which lies ``late`` behind the latest line, has passed
+    its first line by ``timeout_ms``. Whole lines are never late.
+    """
     found = ordering.fragments(lines)
     before = sentences.prefix(F.col("payload"))
     station = sentences.tag_field(F.regexp_replace(before, r"\\", ""), "s")
@@ -36,14 +40,14 @@ def reassemble_stream(lines: DataFrame, wait: str = "10 minutes", timeout_ms: in
         held = list(state.get) if state.exists else None
         out = []
         for batch in batches:
-            for row in batch.sort_values("line").itertuples():
+            for row in batch.sort_values("line").to_dict("records"):
                 if held is None:
-                    held = [row.ts_ms, row.tags, row.start, row.channel, row.count, [], [], "0"]
-                if row.number not in held[5] and 1 <= row.number <= held[4]:
-                    held[5].append(int(row.number))
-                    held[6].append(row.armor)
-                    if row.number == held[4]:
-                        held[7] = row.fill
+                    held = [row["ts_ms"], row["tags"], row["start"], row["channel"], row["count"], [], [], "0"]
+                if row["number"] not in held[5] and 1 <= row["number"] <= held[4]:
+                    held[5].append(int(row["number"]))
+                    held[6].append(row["armor"])
+                    if row["number"] == held[4]:
+                        held[7] = row["fill"]
                 if len(held[5]) >= held[4]:
                     armor = "".join(a for _, a in sorted(zip(held[5], held[6], strict=True)))
                     out.append((key[0], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{armor},{held[7]}", held[1], True, ""))
@@ -53,11 +57,11 @@ def reassemble_stream(lines: DataFrame, wait: str = "10 minutes", timeout_ms: in
                 state.remove()
         else:
             state.update(tuple(held))
-            state.setTimeoutDuration(timeout_ms)
+            state.setTimeoutTimestamp(max(held[0], state.getCurrentWatermarkMs()) + timeout_ms)
         yield pd.DataFrame(out, columns=["source", "ts_ms", "body", "tags", "complete", "raw"])
 
-    columns = parts.select("source", "group", "line", "ts_ms", "tags", "start", "channel", F.col("count").cast("int"), F.col("number").cast("int"), "armor", "fill").withColumnRenamed("count", "count")
-    put = columns.groupBy("source", "group").applyInPandasWithState(collect, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    columns = parts.select("source", "group", "line", "ts_ms", "tags", "start", "channel", F.col("count").cast("int").alias("count"), F.col("number").cast("int").alias("number"), "armor", "fill", F.timestamp_millis("ts_ms").alias("ts"))
+    put = columns.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(collect, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     sealed = sentences.closed(F.col("body"), "!")
     tagged = F.when(F.col("tags") == "", sealed).otherwise(F.concat(F.lit("\\"), "tags", F.lit("*"), sentences.checksum(F.col("tags")), F.lit("\\"), sealed))
     joined = put.select("source", "ts_ms", F.when(F.col("complete"), tagged).otherwise(F.col("raw")).alias("payload"), "complete")
