@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from seamark.functions import bits, labels, spatial
 from seamark.functions.settle import settled
@@ -126,6 +125,3 @@ def other(parsed: DataFrame) -> DataFrame:
 
 def route(parsed: DataFrame, eta_year: int) -> dict[str, DataFrame]:
     return {"positions": positions(parsed), "statics": statics(parsed, eta_year), "atons": atons(parsed), "other": other(parsed)}
-
-
-SCHEMA = T.StructType.fromDDL(BODY)
