@@ -149,10 +149,10 @@ def hilbert_order(t: Tables) -> DataFrame:
     return rows.select("event_id", F.row_number().over(Window.orderBy("hilbert", "event_id")).cast("long").alias("place"))
 
 
-@query(f"with {EV} select event_id, mmsi from ev where ((lat_raw / 600000.0 between 30 and 60 and lon_raw / 600000.0 between -20 and 40) or (lat_raw / 600000.0 between -45 and -10 and lon_raw / 600000.0 between 110 and 160)) and mmsi % 2 = 0")
+@query(f"with {EV} select event_id, mmsi from ev where ((lat_raw / 600000.0 between 30 and 60 and lon_raw / 600000.0 between -160 and -60) or (lat_raw / 600000.0 between -45 and -10 and lon_raw / 600000.0 between -179 and -100)) and mmsi % 2 = 0")
 def geo_filter(t: Tables) -> DataFrame:
     rows = sightings(t).select("event_id", "mmsi", (c("lat_raw") / 600000.0).alias("latitude"), (c("lon_raw") / 600000.0).alias("longitude"), F.lit(1).alias("msg_type"))
-    return lines.subscription(rows.where("mmsi % 2 = 0"), [(30, -20, 60, 40), (-45, 110, -10, 160)], types=[1]).select("event_id", "mmsi")
+    return lines.subscription(rows.where("mmsi % 2 = 0"), [(30, -160, 60, -60), (-45, -179, -10, -100)], types=[1]).select("event_id", "mmsi")
 
 
 @query("select event_type, count(*) as lines, cast(sum(strlen(props)) as bigint) as bytes, max(strlen(props)) as longest, count_if(strlen(props) >= 20) as oversize, min(ts) as first_ts, max(ts) as last_ts from events group by event_type")
