@@ -98,7 +98,7 @@ def similar_links(items: DataFrame, percent: int) -> DataFrame:
         return texts.select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
 
     expand = lambda some: some.mapInArrow(sign, "k0 long, k1 long, id long, size int")
-    pairs = materialize(candidate_pairs(items, expand, percent, ("k0", "k1")), "line-pairs")
+    pairs, _ = candidate_pairs(items, expand, percent, ("k0", "k1"))
     return materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
 
 

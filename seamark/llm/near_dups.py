@@ -4,7 +4,8 @@ Each document's distinct word shingles give a signature of 64 minima. Documents
 a class. Sixteen trees order the class representatives by different parts of the signature;
 ``neighbours`` finds those with the longest common prefixes, deeper where a region is crowded.
 Candidates whose sketches agree too little to be similar are dropped, the rest confirmed on the full
-sets, and links joined into components.
+sets, and links joined into components. Then all rows of a crowded region that are in different
+components are compared exactly, so that any two similar documents with a common prefix are joined.
 
 Null texts and texts without words have empty sets and link with nothing, as do rows with a null
 doc_id. Rows with equal doc_ids are one document. Repeated rows are returned each. Empty input gives
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.llm.components import components, join_sized
-from seamark.llm.neighbours import candidate_pairs, confirm, estimate_filter, prefixes
+from seamark.llm.neighbours import candidate_pairs, confirm, estimate_filter, joined, prefixes
 from seamark.llm.storage import materialize
 from seamark.llm.wordhash import chunks, mix, shingle_set, words
 
@@ -78,7 +79,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     leads = linkable.join(classes, ["set1", "set2"]).where("doc_id = id").dropDuplicates(["id", "set1", "set2"])
     leads = materialize(leads.select("id", F.col("n_shingles").alias("size"), "signature", "bits"), "leads")
 
-    pairs = materialize(candidate_pairs(leads, lambda some: prefixes(some, TREES, HASHES // TREES, DEPTHS), percent), "pairs")
+    pairs, crowded = candidate_pairs(leads, lambda some: prefixes(some, TREES, HASHES // TREES, DEPTHS), percent)
     likely = materialize(estimate_filter(pairs, leads, LEAST_ESTIMATE), "likely")
 
     def fetch(wanted: DataFrame) -> DataFrame:
@@ -90,8 +91,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         texts = join_sized(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), wanted, ["id"], "inner", 48)
         return texts.select("id", "blocks", "text").mapInArrow(run, "id long, blocks array<long>, data binary")
 
-    links = materialize(confirm(likely, fetch, lambda sets: [np.frombuffer(d, np.uint64) for d in sets], percent), "links")
-    found = components(links)
+    to_sets = lambda sets: [np.frombuffer(d, np.uint64) for d in sets]
+    links = materialize(confirm(likely, fetch, to_sets, percent), "links")
+    found = joined(components(links), crowded, fetch, to_sets, percent)
     named = materialize(classes.join(found, classes.id == found.node, "left").select("set1", "set2", F.coalesce("component", "id").alias("component_id")), "named")
     told = linkable.select("doc_id", "n_shingles", "set1", "set2").join(named, ["set1", "set2"]).select("doc_id", "n_shingles", "component_id")
     alone = rows.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -157,6 +157,32 @@ def test_near_duplicates(spark):
     assert got[None] == (len(sets[3]), None)
 
 
+def family(rng, n, length, changed, again):
+    """Word lists of a template with ``changed`` words replaced, each with a partner of ``again`` more replaced."""
+    template, fresh, found = [f"w{i}" for i in range(length)], iter(range(10**9)), []
+    for _ in range(n):
+        one = list(template)
+        for i in rng.sample(range(length), changed):
+            one[i] = f"x{next(fresh)}"
+        two = list(one)
+        for i in rng.sample(range(length), again):
+            two[i] = f"y{next(fresh)}"
+        found += [one, two]
+    return found
+
+
+def test_near_duplicates_of_a_template(spark):
+    """Hundreds of documents of one template are under 0.8 to one another, and each has a near copy."""
+    texts = [" ".join(x) for x in family(random.Random(6), 400, 201, 8, 7)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs, shingle=2).collect()}
+    sets = [frozenset(zip(w, w[1:])) for w in map(str.split, texts)]
+    links = [(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = roots(range(len(sets)), links)
+    assert len(set(want.values())) > 300
+    assert got == want
+
+
 def test_line_dedup(spark):
     line = "the quick brown fox jumps over the lazy dog near the river bank at dawn every day while nobody else is looking from the old stone bridge"
     texts = [f"{line}\nfirst one stays", f"alone\n{line}", f"{line.replace('dawn', 'dusk')}\n\nend", None, "", "  The Quick\nfirst one stays", f"{line} and quite a lot more words that make it another line because they go on and on until the end\nalone"]
