@@ -2,8 +2,8 @@
 
 Lines (split at newlines, trimmed and lowered for comparison) that are equal are one item, found by an
 aggregation that combines copies before the shuffle. An item's 8-character shingles give a one-permutation
-MinHash signature, whose bands bring candidates together; exact Jaccard similarity decides, and
-distributed star joins form components. The first occurrence (by doc_id, then line) of each component
+MinHash signature, whose bands bring candidates together, all with all in a bucket of any size; exact
+Jaccard similarity decides, and distributed star joins form components. The first occurrence (by doc_id, then line) of each component
 stays, and every other occurrence is removed from its document.
 
 Blank lines are never removed. Null texts stay null. Documents keep their rows even where no line is
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.llm.components import components, join_sized
-from seamark.llm.neighbours import candidate_pairs, confirm
+from seamark.llm.neighbours import candidate_pairs, confirm, joined
 from seamark.llm.storage import materialize
 from seamark.llm.wordhash import chunks, mix, powers
 
@@ -81,8 +81,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return normal.withColumn("hash1", F.xxhash64("norm")).withColumn("hash2", F.crc32("norm"))
 
 
-def similar_links(items: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of similar items; items: id, norm."""
+def similar_parts(items: DataFrame, percent: int) -> DataFrame:
+    """Components (node, component) of similar items; items: id, norm."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,8 +98,9 @@ def similar_links(items: DataFrame, percent: int) -> DataFrame:
         return texts.select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
 
     expand = lambda some: some.mapInArrow(sign, "k0 long, k1 long, id long, size int")
-    pairs, _ = candidate_pairs(items, expand, percent, ("k0", "k1"))
-    return materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
+    pairs, crowded = candidate_pairs(items, expand, percent, ("k0", "k1"))
+    links = materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
+    return joined(components(links), crowded, fetch, line_sets, percent)
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -110,7 +111,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     first = F.min(F.struct("id", "version", "at", "norm")).alias("first")
     items = lines.groupBy("hash1", "hash2").agg(first, F.count("*").alias("n"))
     items = materialize(items.select(F.monotonically_increasing_id().alias("item"), "hash1", "hash2", "n", F.struct("first.id", "first.version", "first.at").alias("place"), F.col("first.norm").alias("norm")), "lines")
-    parts = components(similar_links(items.select(F.col("item").alias("id"), "norm"), percent))
+    parts = similar_parts(items.select(F.col("item").alias("id"), "norm"), percent)
     members = parts.union(parts.select("component", "component").distinct())
     placed = join_sized(items.select(F.col("item").alias("node"), "hash1", "hash2", "place"), materialize(members, "members"), ["node"], "inner", 16)
     placed = materialize(placed, "placed-lines")

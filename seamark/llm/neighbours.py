@@ -253,7 +253,7 @@ def joined(parts: DataFrame, members: DataFrame, fetch: Callable[[DataFrame], Da
     higher = components(across).select(F.col("node").alias("part"), F.col("component").alias("root"))
     higher = materialize(higher, "higher")
     moved = join_sized(parts, higher.withColumnRenamed("part", "component"), ["component"], "left", 16)
-    return moved.select("node", F.coalesce("root", "component").alias("component")).union(higher)
+    return materialize(moved.select("node", F.coalesce("root", "component").alias("component")).union(higher), "joined")
 
 
 def prefixes(items: DataFrame, orders: int, width: int, depths: tuple[int, ...]) -> DataFrame:

@@ -196,6 +196,28 @@ def test_line_dedup(spark):
     assert rows[1].n_chars == 5 and rows[1].bucket == 1 and set(docs.columns) <= set(rows[0].asDict())
 
 
+def test_line_dedup_of_a_template(spark):
+    """Hundreds of lines of one template are under 0.8 to one another, and each has a near copy."""
+    rng, fresh = random.Random(7), iter(range(0x4E00, 0x9000))
+    template, lines = [rng.choice("abcdefgh ") for _ in range(500)], []
+    template[0] = template[-1] = "z"
+    for _ in range(400):
+        one = list(template)
+        for i in rng.sample(range(4, 500, 10), 5):
+            one[i] = chr(next(fresh))
+        two = list(one)
+        for i in rng.sample(range(4, 500, 10), 5):
+            two[i] = chr(next(fresh))
+        lines += ["".join(one), "".join(two)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    removed = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
+    sets = [frozenset(x[i : i + 8] for i in range(len(x) - 7)) for x in lines]
+    links = [(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = roots(range(len(sets)), links)
+    assert len(set(want.values())) > 150
+    assert removed == {i for i, first in want.items() if i != first}
+
+
 def test_language_id(spark):
     rng = random.Random(3)
     words = {"en": ["the", "and", "with", "thing", "which"], "fr": ["le", "les", "étaient", "avec", "eaux"], "de": ["der", "und", "nicht", "schön", "über"]}
