@@ -27,8 +27,7 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs)
-    rejected = storage.materialize(quality.quality(rows, row=ROW).where("not kept").select(F.col("row_id").alias(ROW)), "rejected")
-    return join_sized(rows, rejected, [ROW], "left_anti", 8).select(*docs.columns)
+    return quality.cleaned(rows, quality.judged(rows, row=ROW), ROW).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ A line is normalised (trimmed, A-Z lowered, runs of white space as one space, di
 hashed. For each host (``source``) the distinct documents that hold a line are counted; documents
 with identical texts are one document, so copies alone don't make boilerplate. A line is boilerplate
 where more than ``max(min_docs, max_share * documents of the host)`` documents of the host hold it.
-A document whose words lie almost all in such lines is depleted, and rejected.
+A document whose words lie almost all in such lines is depleted, and rejected. ``quality`` gives the
+verdicts, ``cleaned`` the texts of kept documents without the boilerplate lines.
 
 Null texts have no words and fail. A null source is a host of its own. Repeated rows are judged
 each on their own. Empty input gives no rows.
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seamark.llm.components import join_sized
 from seamark.llm.storage import materialize
 from seamark.llm.wordhash import SPACE, Words, chunks, mix, span_hashes, windows, words
 
@@ -64,15 +66,11 @@ def line_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], ends[:-1] + 1]), ends
 
 
-def measure_batch(texts: list) -> list[np.ndarray | list]:
-    found = words(texts)
+def normal_lines(found: Words) -> tuple[np.ndarray, ...]:
+    """Of each line of a batch: its byte span, number of words and hash as normalised; and the first line of each document."""
     data = found.data
-    solid = ~SPACE[data]
-    word_chars = sums(solid & ((data & 0xC0) != 0x80), found.doc_starts)
-    symbols = sums(SYMBOL[data], found.doc_starts)
     starts, ends = line_bounds(data)
     line_words = np.searchsorted(found.starts, ends) - np.searchsorted(found.starts, starts)
-    exact = span_hashes(data, starts, ends)
     # of the normalised line: the sequence of its folded words
     folded = span_hashes(FOLD[data], found.starts, found.ends) if len(found.starts) else found.hashes
     spread = folded * (np.arange(len(folded), dtype=np.uint64) * np.uint64(2) + np.uint64(1))
@@ -82,7 +80,17 @@ def measure_batch(texts: list) -> list[np.ndarray | list]:
     low, high = np.searchsorted(found.starts, starts), np.searchsorted(found.starts, ends)
     shift = low.astype(np.uint64) * np.uint64(2)
     normal = mix((total[high] - total[low]) - shift * (plain[high] - plain[low]) + line_words.astype(np.uint64))
-    lines_first = np.searchsorted(starts, found.doc_starts)
+    return starts, ends, line_words, normal, np.searchsorted(starts, found.doc_starts)
+
+
+def measure_batch(texts: list) -> list[np.ndarray | list]:
+    found = words(texts)
+    data = found.data
+    solid = ~SPACE[data]
+    word_chars = sums(solid & ((data & 0xC0) != 0x80), found.doc_starts)
+    symbols = sums(SYMBOL[data], found.doc_starts)
+    starts, ends, line_words, normal, lines_first = normal_lines(found)
+    exact = span_hashes(data, starts, ends)
     text_hash = span_hashes(data, found.doc_starts[:-1], found.doc_starts[1:] - 1)
     dups, hashes, counts = [], [], []
     for a, b in zip(lines_first[:-1], lines_first[1:], strict=True):
@@ -111,8 +119,8 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
     return docs.select(*carry, "text").mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), MEASURE_SCHEMA]))
 
 
-def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
-    """Per row: row_id (the column ``row``, if one is named), doc_id, the measures, base_failed, boilerplate_words and kept."""
+def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
+    """The columns of ``quality``, and removed, the hashes of the row's boilerplate lines (null if there are none)."""
     number = F.col(row) if row else F.monotonically_increasing_id()
     base = docs.select(number.alias("row_id"), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("\0")).alias("host"), "text")
     rows = materialize(measure(base, ["row_id", "doc_id", "host"]), "measures")
@@ -124,11 +132,47 @@ def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50,
     pairs = F.explode(F.arrays_zip("line_hashes", "line_words")).alias("of")
     lines = rows.select("row_id", "host", pairs).select("row_id", "host", F.col("of.line_hashes").alias("line"), F.col("of.line_words").alias("words"))
     frequent = counted.join(limits, "host").where(F.col("docs") > F.col("most")).select("host", "line")
-    removed = lines.join(frequent, ["host", "line"], "left_semi").groupBy("row_id").agg(F.sum("words").alias("boilerplate_words"))
+    removed = lines.join(frequent, ["host", "line"], "left_semi").groupBy("row_id").agg(F.sum("words").alias("boilerplate_words"), F.collect_list("line").alias("removed"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     lost = F.coalesce(F.col("boilerplate_words"), F.lit(0))
     depleted = 100 * (F.col("n_words") - lost) < min_left_percent * F.col("n_words")
     return rows.join(removed, "row_id", "left").select(
         "row_id", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), lost.cast("long").alias("boilerplate_words"), (~failed & ~depleted).alias("kept"),
+        failed.alias("base_failed"), lost.cast("long").alias("boilerplate_words"), (~failed & ~depleted).alias("kept"), "removed",
     )
+
+
+def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
+    """Per row: row_id (the column ``row``, if one is named), doc_id, the measures, base_failed, boilerplate_words and kept."""
+    return judged(docs, min_words, max_repeat_percent, min_docs, max_share, min_left_percent, row).drop("removed")
+
+
+def strip_lines(texts: list, removed: list[np.ndarray]) -> list[str]:
+    """The texts without the lines whose hashes are in ``removed``."""
+    left = []
+    for low, high in chunks(texts):
+        _, _, line_words, normal, first = normal_lines(words(texts[low:high]))
+        for text, hashes, a, b in zip(texts[low:high], removed[low:high], first[:-1], first[1:], strict=True):
+            gone = (line_words[a:b] > 0) & np.isin(normal[a:b].view(np.int64), hashes)
+            left.append("\n".join(line for line, drop in zip(text.split("\n"), gone, strict=True) if not drop))
+    return left
+
+
+def cleaned(docs: DataFrame, verdicts: DataFrame, row: str) -> DataFrame:
+    """Kept documents without their boilerplate lines, n_chars counted anew; ``verdicts`` are of ``judged`` with the same ``row``."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = strip_lines(batch.column("text").to_pylist(), [np.array(x, np.int64) for x in batch.column("removed").to_pylist()])
+            columns = [pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", "removed"), "verdicts")
+    rejected = materialize(told.where("not kept").select(row), "rejected")
+    held = materialize(told.where("kept and removed is not null").select(row, "removed"), "boilerplate")
+    same = join_sized(join_sized(docs, rejected, [row], "left_anti", 8), held.select(row), [row], "left_anti", 8)
+    cut = join_sized(docs, held, [row], "inner", 200).select(*names, "removed").mapInArrow(run, docs.schema)
+    if "n_chars" in names:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return same.select(*names).union(cut)

@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, packing, quality, token_files
+from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files
 from seamark.llm.tokens import encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -157,6 +158,23 @@ def test_near_duplicates(spark):
     assert got[None] == (len(sets[3]), None)
 
 
+def test_quality_removes_frequent_lines(spark):
+    texts = [None, ""] + [f"Shared  line {i % 10}\n{t}\n\n" for i, t in enumerate(random_texts(60, seed=9))]
+    docs = storage.materialize(documents(spark, texts).withColumn("row", F.monotonically_increasing_id()), "rows")
+    verdicts = quality.judged(docs, min_words=20, min_docs=5, max_share=0.01, row="row")
+    got = {r.doc_id: r for r in quality.cleaned(docs, verdicts, "row").collect()}
+    kept = {r.doc_id for r in verdicts.where("kept").collect()}
+    source = [["b", "a", None, "c"][i % 4] for i in range(len(texts))]
+    fold = lambda line: re.sub("[0-9]", "0", " ".join(WORD.findall(line)).lower())
+    held = Counter((s, line) for s, t in zip(source, texts, strict=True) for line in {fold(x) for x in (t or "").split("\n")})
+    assert set(got) == kept and len(kept) > 20
+    for i, text in enumerate(texts):
+        if (r := got.get(None if i == 3 else i)) is not None:
+            want = "\n".join(x for x in text.split("\n") if not fold(x) or held[source[i], fold(x)] <= 5)
+            assert (r.text, r.n_chars, r.bucket) == (want, len(want), 1)
+            assert len(want) < len(text)
+
+
 def family(rng, n, length, changed, again):
     """Word lists of a template with ``changed`` words replaced, each with a partner of ``again`` more replaced."""
     template, fresh, found = [f"w{i}" for i in range(length)], iter(range(10**9)), []
