@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files
+from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, neighbours, packing, quality, storage, token_files
 from seamark.llm.tokens import encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -201,6 +201,16 @@ def test_near_duplicates_of_a_template(spark):
     assert got == want
 
 
+def test_near_duplicates_of_a_hot_region(spark, monkeypatch):
+    """The near copies of one template are found as well where its regions are dealt by deeper keys."""
+    monkeypatch.setattr(neighbours, "SAMPLED", 1)
+    texts = [" ".join(x) for x in family(random.Random(8), 150, 201, 8, 7)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs, shingle=2).collect()}
+    assert len(set(got.values())) > 100
+    assert all(got[i] == got[i + 1] for i in range(0, 300, 2))
+
+
 def test_line_dedup(spark):
     line = "the quick brown fox jumps over the lazy dog near the river bank at dawn every day while nobody else is looking from the old stone bridge"
     texts = [f"{line}\nfirst one stays", f"alone\n{line}", f"{line.replace('dawn', 'dusk')}\n\nend", None, "", "  The Quick\nfirst one stays", f"{line} and quite a lot more words that make it another line because they go on and on until the end\nalone"]
