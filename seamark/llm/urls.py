@@ -2,8 +2,8 @@
 
 The list is first written as a blocked Bloom filter: a table of 256-bit blocks (four 64-bit words),
 one bit a word for each URL, about 2.5 bytes a URL. Pages meet it by block number; only possible
-hits go on with their URL to an exact hash join with the list, which removes false positives. Both
-joins carry no hint: by the tables' measured sizes Spark broadcasts the blocks or shuffles.
+hits go on with their URL to an exact hash join with the list, which removes false positives; all other
+pages pass it by. Both joins carry no hint: by the tables' measured sizes Spark broadcasts or shuffles.
 
 A null url, or one without "://", has an empty host and path, fits no rule and is allowed. Repeated
 rows are judged each. Empty inputs give no rows or block nothing. Other columns are ignored.
@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seamark.llm.licenses import LOWER, UPPER
+from seamark.llm.storage import materialize
 
 #: (host, start of path, verdict)
 RULES = (
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
-    ("net", "/", "allow"),
+    ("net", "/de/", "allow"),
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 )
@@ -77,17 +78,14 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame, rules=RULES) -> DataFram
     all_set = F.col("canon").isNotNull()
     for w in range(WORDS):
         all_set = all_set & (F.col(f"word{w}").bitwiseAND(bit(w)) != 0)
-    possible = met.withColumn("possible", F.coalesce(all_set, F.lit(False)))
-    # a page that cannot be listed gets a key of its own, which no canonical URL equals, so that these don't meet in one task
-    key = F.when(F.col("possible"), F.col("canon")).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("#"), "canon"))
-    exact = possible.withColumn("key", key).join(listed.select(F.col("canon").alias("key"), F.lit(True).alias("in_list")), "key", "left")
     text, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    in_list = F.coalesce("in_list", F.lit(False))
-    return exact.select(
-        "page_id", "host", "path", text.alias("rule"),
-        F.coalesce(verdict, F.when(in_list, "block").otherwise("allow")).alias("verdict"),
-        "possible", in_list.alias("listed"),
-    )
+    told = met.select("page_id", "host", "path", text.alias("rule"), verdict.alias("ruled"), "canon", F.coalesce(all_set, F.lit(False)).alias("possible"))
+    told = materialize(told, "pages")
+    # only possible hits meet the list
+    hits = told.where("possible").join(listed.select("canon", F.lit(True).alias("in_list")), "canon", "left")
+    columns = ["page_id", "host", "path", "rule", "ruled", "possible"]
+    judged = hits.select(*columns, F.coalesce("in_list", F.lit(False)).alias("listed")).union(told.where("not possible").select(*columns, F.lit(False)))
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "possible", "listed")
 
 
 #: Titles full of symbols; the pages that have them make up the list of the registered query.
@@ -100,20 +98,21 @@ def junk_urls(pages: DataFrame) -> DataFrame:
 
 
 def url_sql() -> str:
-    upper, lower = UPPER, LOWER
-    cases = lambda k: " ".join(
-        f"when (host = '{r[0]}' or ends_with(host, '.{r[0]}')) and starts_with(path, '{r[1]}') then '{(r[0] + r[1], r[2])[k]}'"
-        for r in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
-    )
+    rule = """case
+    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/7') then 'allow example.com/en/7'
+    when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/de/8') then 'block example.net/de/8'
+    when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/en/') then 'block com/en/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/de/') then 'allow net/de/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/es/') then 'block org/es/' end"""
     return rf"""
 with parts as (
-  select page_id, html, translate(coalesce(regexp_extract(url, '{PARTS}', 1), ''), '{upper}', '{lower}') as host,
+  select page_id, html, translate(coalesce(regexp_extract(url, '{PARTS}', 1), ''), '{UPPER}', '{LOWER}') as host,
          coalesce(regexp_extract(url, '{PARTS}', 2), '') as path from pages),
 canon as (
   select *, case when host <> '' then regexp_replace(host, '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '') end as canon from parts),
 listed as (select distinct canon as listed_canon from canon where regexp_matches(html, '{JUNK_TITLE}') and canon is not null),
 judged as (
-  select page_id, host, path, case {cases(0)} end as rule, case {cases(1)} end as ruled, listed_canon is not null as listed
+  select page_id, host, path, {rule} as found, substr(found, 7) as rule, substr(found, 1, 5) as ruled, listed_canon is not null as listed
   from canon left join listed on canon = listed_canon)
 select page_id, host, path, rule, coalesce(ruled, case when listed then 'block' else 'allow' end) as verdict, listed from judged
 """
