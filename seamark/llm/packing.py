@@ -14,7 +14,6 @@ come. Empty input gives no rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
@@ -24,8 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.llm.storage import materialize
-from seamark.llm.tokens import encoder
-from seamark.llm.wordhash import chunks
+from seamark.llm.tokens import crc32s, encoder, text_chunks
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -34,19 +32,19 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int, with_i
     """One row per piece: full windows, and the rest of the document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for low, high in chunks(texts):
-                rows: list[tuple] = []
-                for doc, coded in zip(ids[low:high], encoder(tokenizer).encode(texts[low:high]), strict=True):
-                    coded += end
-                    total = len(coded) // 4
-                    for at in range(0, total, window):
-                        piece = coded[4 * at : 4 * (at + window)]
-                        rows.append((doc, at, len(piece) // 4, zlib.crc32(piece), total, piece))
-                columns = list(zip(*rows, strict=True))
-                arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + ([pa.array(columns[5], pa.binary())] if with_ids else [])
+            texts, docs_of = batch.column("text"), batch.column("doc_id")
+            for low, high in text_chunks(texts):
+                coded = encoder(tokenizer, end_id).encode(texts.slice(low, high - low))
+                first, ids = coded.offsets.to_numpy().astype(np.int64), coded.values.to_numpy()
+                total = np.diff(first)
+                number = -(-total // window)  # at least one: each document has its end id
+                doc = np.repeat(np.arange(len(total)), number)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)) * window
+                bounds = np.append(first[doc] + start, first[-1])
+                arrays = [docs_of.slice(low, high - low).take(pa.array(doc)), pa.array(start), pa.array(np.diff(bounds)), pa.array(crc32s(ids, bounds)), pa.array(total[doc])]
+                if with_ids:
+                    arrays.append(pa.array([ids[x:y].astype("<u4").tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(arrays)])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE_SCHEMA + ", ids binary" * with_ids)

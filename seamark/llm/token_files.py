@@ -1,7 +1,7 @@
 """Token ids as Parquet list columns, written in document order and read back selectively.
 
 Documents are range-partitioned by doc_id, so file k holds a contiguous run of the order (null ids
-first; rows with equal ids ordered by text). A row stores its place inside its file; the place in
+first; rows with equal ids by a hash of the text, then by text, so that many such rows aren't one range). A row stores its place inside its file; the place in
 the whole corpus follows from the files' totals, one small row a file. Ids are dictionary encoded
 (or delta encoded) in row groups of a set size with page indexes, so a reader of a few documents
 or of the metadata columns alone touches only the pages that it needs.
@@ -12,7 +12,6 @@ of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seamark.llm.tokens import encoder
-from seamark.llm.wordhash import chunks
+from seamark.llm.tokens import crc32s, encoder, text_chunks
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
@@ -43,22 +41,20 @@ def file_options(encoding: str, row_group_bytes: int, page_rows: int) -> dict[st
 
 def encode_in_order(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
-            for low, high in chunks(texts):
-                coded = [x + end for x in encoder(tokenizer).encode(texts[low:high])]
-                sizes = np.array([len(x) // 4 for x in coded], np.int64)
-                ends = np.cumsum(sizes)
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values)
+            texts, ids = batch.column("text"), batch.column("doc_id")
+            for low, high in text_chunks(texts):
+                coded = encoder(tokenizer, end_id).encode(texts.slice(low, high - low))
+                first = coded.offsets.to_numpy().astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(low, high - low), pa.array(np.full(len(coded), part, np.int32)), pa.array(at + ends - sizes), pa.array(sizes), lists],
+                    [ids.slice(low, high - low), pa.array(np.full(len(coded), part, np.int32)), pa.array(at + first[:-1]), pa.array(np.diff(first)), coded],
                     names=["doc_id", "part", "local_start", "n_tokens", "ids"],
                 )
-                at += int(ends[-1])
+                at += int(first[-1])
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    tie = F.xxhash64("text").alias("tie")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text", tie).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").drop("tie")
     return ordered.mapInArrow(encode, FILE_SCHEMA)
 
 
@@ -86,9 +82,7 @@ def ids_crc32(rows: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ids")
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-            bounds = lists.offsets.to_numpy()
-            sums = [zlib.crc32(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            sums = crc32s(lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")

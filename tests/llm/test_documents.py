@@ -7,11 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, neighbours, packing, quality, storage, token_files
+from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, neighbours, packing, quality, storage, token_files, tokens
 from seamark.llm.tokens import encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,9 +53,19 @@ def test_encoder_equals_the_library(name):
     texts = ODD + random_texts(40)
     rng = random.Random(4)
     texts += ["".join(rng.choice("ab.,' \n\té1_\u00a0") for _ in range(40)) for _ in range(300)]
-    got = encoder(path).encode(texts)
+    texts += ["".join(rng.choice("ab. A\n,é<|\0İ") for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    got = encoder(path, 7).encode(pa.array(texts, pa.string())).to_pylist()
     for text, coded in zip(texts, got, strict=True):
-        assert np.frombuffer(coded, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+        assert coded == [*whole.encode(text or "", add_special_tokens=False).ids, 7], text
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_PIECES", 50)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts, whole = random_texts(30), Tokenizer.from_file(path)
+    coder = tokens.PieceEncoder(path, 7)
+    for text in texts:
+        assert coder.encode(pa.array([text])).to_pylist() == [[*whole.encode(text, add_special_tokens=False).ids, 7]]
 
 
 def test_token_files(spark, tmp_path):
@@ -125,14 +136,20 @@ def measures(text):
 
 
 def test_quality(spark):
-    texts = ODD + random_texts(20, vocabulary=8) + ["shared line here\n" + t for t in random_texts(80, seed=9)] + ["only boilerplate " * 30 + f"\nshared {i}" for i in range(4)]
+    texts = ODD + random_texts(20, vocabulary=8) + ["shared line here\n" + t for t in random_texts(80, seed=9)] + [" ".join(f"menu{k}" for k in range(40)) + f"\n{i} " + " ".join(f"own{i}x{k}" for k in range(25)) for i in range(40)]
     rows = {r.doc_id: r for r in quality.quality(documents(spark, texts), min_docs=5, max_share=0.01).collect()}
+    source = [["b", "a", None, "c"][i % 4] for i in range(len(texts))]
+    fold = lambda line: re.sub("[0-9]", "0", " ".join(WORD.findall(line)).lower())
+    held = Counter((s, line) for s, t in set(zip(source, texts, strict=True)) for line in {fold(x) for x in (t or "").split("\n")})
     for i, text in enumerate(texts):
         r = rows[None if i == 3 else i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == measures(text)
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-        assert not (r.base_failed and r.kept)
+        lost = sum(len(WORD.findall(x)) for x in (text or "").split("\n") if held[source[i], fold(x)] > 5)
+        assert r.boilerplate_words == lost
+        assert r.kept == (not r.base_failed and r.n_words - lost >= 50 and 2 * (r.n_words - lost) >= r.n_words)
     assert any(r.boilerplate_words > 0 for r in rows.values())
+    assert any(not r.base_failed and not r.kept for r in rows.values()) and any(r.kept for r in rows.values())
 
 
 def test_near_duplicates(spark):
