@@ -4,11 +4,13 @@ A line is normalised (trimmed, A-Z lowered, runs of white space as one space, di
 hashed. For each host (``source``) the distinct documents that hold a line are counted; documents
 with identical texts are one document, so copies alone don't make boilerplate. A line is boilerplate
 where more than ``max(min_docs, max_share * documents of the host)`` documents of the host hold it.
-A document whose words lie almost all in such lines is depleted, and rejected. ``quality`` gives the
-verdicts, ``cleaned`` the texts of kept documents without the boilerplate lines.
+A document is depleted, and rejected, where fewer than ``min_words`` words, or less than
+``min_left_percent`` % of its words, are left outside such lines. ``quality`` gives the verdicts,
+``cleaned`` the texts of kept documents without the boilerplate lines.
 
 Null texts have no words and fail. A null source is a host of its own. Repeated rows are judged
-each on their own. Empty input gives no rows.
+each on their own. Empty input gives no rows. Other columns are ignored, and ``cleaned`` returns them
+as they came, but for text and n_chars.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.components import join_sized
 from seamark.llm.storage import materialize
 from seamark.llm.wordhash import SPACE, Words, chunks, mix, span_hashes, windows, words
 
 #: Measures, and the hash and number of words of each distinct line.
 MEASURE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, text_hash long, line_hashes array<long>, line_words array<int>"
+#: Carries the hashes to remove beside a caller's columns.
+REMOVED = "__removed_lines"
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 FOLD = np.arange(256, dtype=np.uint8)
@@ -119,7 +122,7 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
     return docs.select(*carry, "text").mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), MEASURE_SCHEMA]))
 
 
-def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
+def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 4, max_share: float = 0.05, min_left_percent: int = 50, row: str | None = None) -> DataFrame:
     """The columns of ``quality``, and removed, the hashes of the row's boilerplate lines (null if there are none)."""
     number = F.col(row) if row else F.monotonically_increasing_id()
     base = docs.select(number.alias("row_id"), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("\0")).alias("host"), "text")
@@ -135,14 +138,15 @@ def judged(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, m
     removed = lines.join(frequent, ["host", "line"], "left_semi").groupBy("row_id").agg(F.sum("words").alias("boilerplate_words"), F.collect_list("line").alias("removed"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     lost = F.coalesce(F.col("boilerplate_words"), F.lit(0))
-    depleted = 100 * (F.col("n_words") - lost) < min_left_percent * F.col("n_words")
+    left = F.col("n_words") - lost
+    depleted = (left < min_words) | (100 * left < min_left_percent * F.col("n_words"))
     return rows.join(removed, "row_id", "left").select(
         "row_id", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), lost.cast("long").alias("boilerplate_words"), (~failed & ~depleted).alias("kept"), "removed",
     )
 
 
-def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 25, max_share: float = 0.1, min_left_percent: int = 20, row: str | None = None) -> DataFrame:
+def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, min_docs: int = 4, max_share: float = 0.05, min_left_percent: int = 50, row: str | None = None) -> DataFrame:
     """Per row: row_id (the column ``row``, if one is named), doc_id, the measures, base_failed, boilerplate_words and kept."""
     return judged(docs, min_words, max_repeat_percent, min_docs, max_share, min_left_percent, row).drop("removed")
 
@@ -164,15 +168,14 @@ def cleaned(docs: DataFrame, verdicts: DataFrame, row: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = strip_lines(batch.column("text").to_pylist(), [np.array(x, np.int64) for x in batch.column("removed").to_pylist()])
+            left = strip_lines(batch.column("text").to_pylist(), [np.array(x, np.int64) for x in batch.column(REMOVED).to_pylist()])
             columns = [pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", "removed"), "verdicts")
-    rejected = materialize(told.where("not kept").select(row), "rejected")
-    held = materialize(told.where("kept and removed is not null").select(row, "removed"), "boilerplate")
-    same = join_sized(join_sized(docs, rejected, [row], "left_anti", 8), held.select(row), [row], "left_anti", 8)
-    cut = join_sized(docs, held, [row], "inner", 200).select(*names, "removed").mapInArrow(run, docs.schema)
+    told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", F.col("removed").alias(REMOVED)), "verdicts")
+    left = docs.join(told.where("kept").drop("kept"), row)  # the two branches share one exchange of the texts
+    same = left.where(F.col(REMOVED).isNull())
+    cut = left.where(F.col(REMOVED).isNotNull()).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return same.select(*names).union(cut)
