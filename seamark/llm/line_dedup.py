@@ -1,15 +1,18 @@
 """Fuzzy line dedup: of similar lines across all documents, only the first stays.
 
-Lines (split at newlines, trimmed and lowered for comparison) that are equal are one item, found by an
-aggregation that combines copies before the shuffle. An item's 8-character shingles give a one-permutation
-MinHash signature, whose bands bring candidates together, all with all in a bucket of any size; exact
-Jaccard similarity decides, and distributed star joins form components. The first occurrence (by doc_id, then line) of each component
-stays, and every other occurrence is removed from its document.
+Lines (split at newlines, trimmed and lowered for comparison) are named by a 64-bit hash, so equal lines
+are one item from the start. An item's 8-character shingles give a one-permutation MinHash signature,
+whose bands bring candidates together, all with all in a bucket of any size; exact Jaccard similarity
+decides, and distributed star joins form components. Of each component the document with the smallest
+doc_id keeps its first line; every other occurrence is removed. One pass over the texts writes what all
+later steps read: of each document the hashes of its lines, and of each new line of a batch its hash,
+bands and text. Only the last step takes the texts again, and joins them to the numbers of removed lines.
 
 Blank lines are never removed. Null texts stay null. Documents keep their rows even where no line is
-left (then the text is empty, or what blank lines leave). Rows with equal doc_id and text are one
-document and keep the same lines; rows with a null doc_id are told apart by their texts. Empty input
-gives no rows. Columns other than doc_id and text are returned as they came, but n_chars is counted anew.
+left (then the text is empty, or what blank lines leave). Rows with equal doc_ids count as one document,
+so each of them keeps that document's lines; a row with a null doc_id is told apart by its text. Empty
+input gives no rows. Columns other than doc_id and text are returned as they came, but n_chars is counted
+anew, and n_lines and n_removed are replaced.
 """
 
 from __future__ import annotations
@@ -18,17 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seamark.llm.components import components, join_sized
-from seamark.llm.neighbours import candidate_pairs, confirm, joined
+from seamark.llm.components import components
+from seamark.llm.neighbours import bucket_pairs, candidate_pairs, confirm, distinct_by_owner, joined
 from seamark.llm.storage import materialize
-from seamark.llm.wordhash import chunks, mix, powers
+from seamark.llm.wordhash import chunks, mix, powers, span_hashes
 
 SHINGLE, BANDS, ROWS = 8, 12, 4
 BINS = BANDS * ROWS
 NONE = np.iinfo(np.uint32).max
+#: Names that carry a row's key and removed lines beside a caller's columns.
+ID, VERSION, FOUND = "__line_dedup_id", "__line_dedup_version", "__line_dedup_found"
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +49,13 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(len(points) + 1)
     total = np.zeros(len(points) + 1, np.uint64)
     np.cumsum((points + np.uint64(1)) * up[: len(points)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), owner
+    value = (total[ends] - total[starts]) * down[starts]
+    value ^= value >> np.uint64(32)
+    value *= np.uint64(0xBF58476D1CE4E5B9)
+    value ^= value >> np.uint64(29)
+    value *= np.uint64(0x94D049BB133111EB)
+    value ^= value >> np.uint64(32)
+    return value, owner
 
 
 def bands(lines: list[str]) -> np.ndarray:
@@ -64,72 +76,121 @@ def bands(lines: list[str]) -> np.ndarray:
 
 def line_sets(data: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingles of each line."""
-    hashes, owner = shingles([d.decode() for d in data])
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(hashes)]
-    bounds = np.searchsorted(owner[new], np.arange(1, len(data)))
-    return np.split(hashes[new], bounds)
+    return distinct_by_owner(*shingles([d.decode() for d in data]), len(data))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """Every line that isn't blank: id, version (of the text), at, norm and its two hashes."""
+def read_lines(docs: DataFrame) -> DataFrame:
+    """A row for each document (id, version, hashes: of its lines, 0 for blank ones), and one for each new line of a batch (hash, norm, bands)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for low, high in chunks(texts, 2 << 20):
+                parts = [t.split("\n") if t is not None else [] for t in texts[low:high]]
+                norms = [line.strip().lower() for lines in parts for line in lines]
+                data = np.frombuffer("\n".join([*norms, ""]).encode("utf-8", "surrogatepass"), np.uint8)
+                ends = np.flatnonzero(data == 10)
+                starts = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+                hashes = span_hashes(data, starts, ends)
+                hashes[hashes == 0] = 1
+                hashes[starts == ends] = 0
+                first = np.concatenate([[0], np.cumsum([len(lines) for lines in parts])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(first), pa.array(hashes.view(np.int64)))
+                yield row_batch(id=batch.column("id").slice(low, high - low), version=batch.column("version").slice(low, high - low), hashes=lists)
+                kinds, at = np.unique(hashes, return_index=True)
+                kinds, at = kinds[kinds != 0], at[kinds != 0]
+                new = [norms[i] for i in at]
+                for a, b in chunks(new, 1 << 16):
+                    keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(bands(new[a:b]).ravel()))
+                    yield row_batch(hash=pa.array(kinds[a:b].view(np.int64)), norm=pa.array(new[a:b], pa.string()), bands=keys)
+
     version = F.xxhash64("text")
-    split = docs.select(F.coalesce(F.col("doc_id").cast("long"), version).alias("id"), version.alias("version"), F.split("text", "\n").alias("parts"))
-    named = split.select("id", "version", F.posexplode("parts").alias("at", "line"))  # so that a text is hashed once, not for each line
-    normal = named.select("id", "version", "at", F.lower(F.trim("line")).alias("norm")).where("norm != ''")
-    return normal.withColumn("hash1", F.xxhash64("norm")).withColumn("hash2", F.crc32("norm"))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), version).alias("id"), version.alias("version"), "text")
+    return keyed.mapInArrow(run, "id long, version long, hashes array<long>, hash long, norm string, bands array<long>")
 
 
-def similar_parts(items: DataFrame, percent: int) -> DataFrame:
-    """Components (node, component) of similar items; items: id, norm."""
+ROW_SCHEMA = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("hashes", pa.list_(pa.int64())), ("hash", pa.int64()), ("norm", pa.string()), ("bands", pa.list_(pa.int64()))])
+
+
+def row_batch(**columns: pa.Array) -> pa.RecordBatch:
+    """A batch with nulls in the columns that aren't given."""
+    number = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(number, f.type)).cast(f.type) for f in ROW_SCHEMA], schema=ROW_SCHEMA)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = batch.column("norm").to_pylist()
-            for low, high in chunks(lines, 1 << 20):
-                keys = bands(lines[low:high])
-                deeper = mix(keys.view(np.uint64) ^ np.roll(keys, -1, axis=1).view(np.uint64)).view(np.int64)
-                ids = np.repeat(batch.column("id").to_numpy()[low:high], BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(deeper.ravel()), pa.array(ids), pa.array(np.ones(len(ids), np.int32))], names=["k0", "k1", "id", "size"])
+
+def similar_parts(items: DataFrame, percent: int) -> DataFrame:
+    """Components (node, component) of similar items; items: id, norm, bands. An item may come several times."""
+
+    pairs, crowded = bucket_pairs(items, lambda some: some.select(F.explode("bands").alias("k0"), "id"))
+    # in crowded buckets lines meet those that share their next crowded bucket as well, before all that are left are compared
+    following = F.lead("k0").over(Window.partitionBy("id").orderBy("k0"))
+    deeper = materialize(crowded.select("k0", F.xxhash64("k0", following).alias("k1"), "id", F.lit(1).alias("size")), "deeper")
+    more, _ = candidate_pairs(deeper, lambda some: some, percent, ("k0", "k1"))
+    pairs = materialize(pairs.union(more).distinct(), "line-pairs")
+    # the texts of lines that met another, once for all comparisons
+    met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowded.select("id")).distinct()
+    texts = materialize(items.select("id", "norm").join(materialize(met, "met-lines"), "id"), "met-texts")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        texts = join_sized(items, wanted, ["id"], "inner", 48)
-        return texts.select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
+        return texts.join(wanted, "id").select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
 
-    expand = lambda some: some.mapInArrow(sign, "k0 long, k1 long, id long, size int")
-    pairs, crowded = candidate_pairs(items, expand, percent, ("k0", "k1"))
     links = materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
     return joined(components(links), crowded, fetch, line_sets, percent)
 
 
+def removed_lines(told: DataFrame, parts: DataFrame) -> DataFrame:
+    """Per document (id, version) the lines that belong to a group: at, component, and whether the document may keep its first one."""
+    at = told.where("hashes is not null").select("id", "version", F.posexplode("hashes").alias("at", "hash")).where("hash != 0")
+    members = parts.select(F.col("node").alias("hash"), "component").union(parts.select("component", "component").distinct())
+    counted = at.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    grouped = counted.join(members, "hash", "left").where("n > 1 or component is not null")
+    grouped = materialize(grouped.select("hash", F.coalesce("component", "hash").alias("component"), "first"), "grouped")
+    keepers = grouped.groupBy("component").agg(F.min("first").alias("keep"))
+    affected = materialize(grouped.join(keepers, "component").select("hash", "component", "keep"), "affected")
+    found = at.join(affected, "hash").groupBy("id", "version").agg(F.collect_list(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
+    return materialize(found, "found")
+
+
+def strip_lines(texts: list[str], found: list[list[dict]]) -> tuple[list[str], list[int]]:
+    """The texts without the lines that ``found`` tells of, and how many these were."""
+    left, numbers = [], []
+    for text, some in zip(texts, found, strict=True):
+        seen, gone = set(), set()
+        for line in sorted(some, key=lambda line: line["at"]):
+            if line["own"] and line["component"] not in seen:
+                seen.add(line["component"])
+            else:
+                gone.add(line["at"])
+        left.append("\n".join(line for at, line in enumerate(text.split("\n")) if at not in gone) if gone else text)
+        numbers.append(len(gone))
+    return left, numbers
+
+
 def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without repeated lines, with n_lines and n_removed added."""
-    taken = [c for c in docs.columns if c in ("n_lines", "n_removed")]
-    docs = docs.drop(*taken)
-    lines = occurrences(docs)
-    first = F.min(F.struct("id", "version", "at", "norm")).alias("first")
-    items = lines.groupBy("hash1", "hash2").agg(first, F.count("*").alias("n"))
-    items = materialize(items.select(F.monotonically_increasing_id().alias("item"), "hash1", "hash2", "n", F.struct("first.id", "first.version", "first.at").alias("place"), F.col("first.norm").alias("norm")), "lines")
-    parts = similar_parts(items.select(F.col("item").alias("id"), "norm"), percent)
-    members = parts.union(parts.select("component", "component").distinct())
-    placed = join_sized(items.select(F.col("item").alias("node"), "hash1", "hash2", "place"), materialize(members, "members"), ["node"], "inner", 16)
-    placed = materialize(placed, "placed-lines")
-    keepers = placed.groupBy("component").agg(F.min("place").alias("keep"))
-    grouped = placed.join(keepers, "component").select("hash1", "hash2", "keep")
-    copied = join_sized(items.where("n > 1").select("item", "hash1", "hash2", "place"), materialize(members.select(F.col("node").alias("item")), "grouped"), ["item"], "left_anti", 8)
-    affected = materialize(grouped.union(copied.select("hash1", "hash2", F.col("place").alias("keep"))), "affected")
-    found = join_sized(lines.drop("norm"), affected, ["hash1", "hash2"], "inner", 56)
-    removed = found.where(F.struct("id", "version", "at") != F.col("keep")).groupBy("id", "version").agg(F.collect_list("at").alias("removed"))
-    removed = materialize(removed, "removed")
+    docs = docs.drop("n_lines", "n_removed")
+    names = docs.columns
+    told = materialize(read_lines(docs), "lines")
+    items = told.where("hash is not null").select(F.col("hash").alias("id"), "norm", "bands")
+    found = removed_lines(told, similar_parts(items, percent))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, some = batch.column("text"), batch.column(FOUND).is_valid()
+            left, numbers = strip_lines(text.filter(some).to_pylist(), batch.column(FOUND).filter(some).to_pylist())
+            removed = pc.replace_with_mask(pa.array(np.zeros(len(batch), np.int64)), some, pa.array(numbers, pa.int64()))
+            text = pc.replace_with_mask(text, some, pa.array(left, text.type))
+            columns = [text if c == "text" else batch.column(c) for c in [*names, "n_lines"]]
+            yield pa.RecordBatch.from_arrays([*columns, removed], names=[*names, "n_lines", "n_removed"])
+
     version = F.xxhash64("text")
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), version)).withColumn("__version", version)
-    dropped = removed.select(F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("removed").alias("__removed"))
-    joined = join_sized(keyed, dropped, ["__id", "__version"], "left", 200)
-    split = F.split("text", "\n")
-    left = F.array_join(F.filter(split, lambda _, at: ~F.array_contains("__removed", at)), "\n")
-    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(left)
-    told = joined.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0)).cast("long")).withColumn("n_removed", F.coalesce(F.size("__removed"), F.lit(0)).cast("long")).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        told = told.withColumn("n_chars", F.length("text").cast("long"))
-    return told.select(*docs.columns, "n_lines", "n_removed")
+    newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    keyed = docs.withColumn(ID, F.coalesce(F.col("doc_id").cast("long"), version)).withColumn(VERSION, version)
+    marked = keyed.join(found.toDF(ID, VERSION, FOUND), [ID, VERSION], "left")
+    marked = marked.select(*names, F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"), FOUND)
+    schema = marked.select(*names, "n_lines", F.lit(0).cast("long").alias("n_removed")).schema
+    left = marked.mapInArrow(run, schema)
+    if "n_chars" in names:
+        counted = F.when(F.col("n_removed") > 0, F.length("text").cast(schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", counted)
+    return left

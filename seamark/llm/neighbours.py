@@ -94,6 +94,66 @@ def candidate_pairs(items: DataFrame, expand: Callable[[DataFrame], DataFrame],
     return met.where("a != b").select("a", "b"), met.where("a = b").select("k0", F.col("a").alias("id"))
 
 
+def bucket_pairs(items: DataFrame, expand: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs a < b of items in buckets of up to WINDOW items, and the rows (k0, id) of all larger buckets.
+
+    ``expand`` gives the rows (k0, id) of items, in which an item may come several times. Rows are sorted by k0
+    alone, and stream through with the first rows of the last bucket carried over. Hot buckets are dealt anywhere.
+    """
+
+    some = items.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(SAMPLED)) == 0)
+    some = materialize(expand(some).select("k0", "id", F.lit(1).alias("size")), "some-rows")
+    hot_keys = np.array([r["k0"] for r in hot_regions(some.distinct()).select("k0").collect()], np.int64)  # under a thousand
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held_id = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            if not len(batch):
+                continue
+            key, item = (np.concatenate([held, batch.column(c).to_numpy()]) for c, held in (("k0", held_key), ("id", held_id)))
+            order = np.lexsort((item, key))
+            key, item = key[order], item[order]
+            new = np.r_[True, (key[1:] != key[:-1]) | (item[1:] != item[:-1])]
+            key, item = key[new], item[new]
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            number = np.diff(np.r_[start, len(key)])
+            size, place = np.repeat(number, number), np.arange(len(key)) - np.repeat(start, number)
+            crowd = (size > WINDOW) | np.isin(key, hot_keys)
+            pairs = [(at - back, at) for back in range(1, WINDOW) if len(at := np.flatnonzero((place >= back) & ~crowd))]
+            low, high = (np.concatenate([p[side] for p in pairs]) if pairs else np.empty(0, np.int64) for side in (0, 1))
+            held_key, held_id = key[start[-1] :][: WINDOW + 1], item[start[-1] :][: WINDOW + 1]
+            columns = np.r_[item[low], item[crowd]], np.r_[item[high], item[crowd]], np.r_[np.zeros(len(low), np.int64), key[crowd]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "k0"])
+
+    deal = F.when(F.col("k0").isin(hot_keys.tolist()), F.xxhash64("k0", "id")).otherwise(F.col("k0"))
+    met = expand(items).select("k0", "id").repartition(deal).sortWithinPartitions("k0").mapInArrow(meet, "a long, b long, k0 long").distinct()
+    met = materialize(met, "met")
+    return met.where("a != b").select("a", "b"), met.where("a = b").select("k0", F.col("a").alias("id"))
+
+
+def distinct_by_owner(values: np.ndarray, owner: np.ndarray, owners: int) -> list[np.ndarray]:
+    """Sorted distinct values of each owner. Of the 64 bits the highest stay, as many as the owner's number leaves."""
+    bits = np.uint64(max(1, int(owners).bit_length()))
+    keys = np.sort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (values >> bits))
+    keys = keys[np.r_[True, keys[1:] != keys[:-1]][: len(keys)]]
+    bounds = np.searchsorted(keys, np.arange(1, owners, dtype=np.uint64) << (np.uint64(64) - bits))
+    return np.split(keys << bits, bounds)
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray], most: int = 1 << 21) -> np.ndarray:
+    """Sizes of the intersections of x[i] and y[i], sets of 64-bit hashes; compared in 51 bits or more."""
+    sizes = np.array([len(v) for v in x]) + np.array([len(v) for v in y])
+    parts = np.maximum(np.cumsum(sizes) // most, np.arange(len(x)) // 8192) if len(x) else sizes
+    found = np.zeros(len(x), np.int64)
+    for some in np.split(np.arange(len(x)), np.flatnonzero(np.diff(parts)) + 1) if len(x) else []:
+        bits = np.uint64(max(1, len(some).bit_length()))
+        owner = np.repeat(np.arange(len(some), dtype=np.uint64), sizes[some]) << (np.uint64(64) - bits)
+        keys = np.sort(owner | (np.concatenate([v for i in some for v in (x[i], y[i])]) >> bits))
+        twice = keys[1:][keys[1:] == keys[:-1]] >> (np.uint64(64) - bits)
+        found[some] = np.bincount(twice.astype(np.int64), minlength=len(some))
+    return found
+
+
 def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """Keeps pairs whose sketches (id, bits: a byte for each hash) agree in a share of at least ``least`` of the bytes."""
 
@@ -107,34 +167,29 @@ def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
 
 
-def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets: Callable[[list[bytes]], list[np.ndarray]], percent: int, block: int = 64, together: int = 2000) -> DataFrame:
+def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets: Callable[[list[bytes]], list[np.ndarray]], percent: int, cut: int = 64, together: int = 2000) -> DataFrame:
     """The pairs whose sets have 100 * intersection >= percent * union.
 
-    Pairs are grouped by components of the candidate graph, large ones cut into salted parts; parts are
-    dealt to blocks of about ``together`` pairs, so that an item's data goes to its block once, not once a pair. ``fetch`` takes rows (id, blocks) and
-    returns (id, blocks, data).
+    ``pairs`` is a materialised table. Pairs are dealt by their smaller end, of many pairs in salted parts, to blocks of
+    about ``together`` pairs, so that an item's data goes to a block once, not once a pair. ``fetch`` takes rows
+    (id, blocks) and returns (id, blocks, data).
     """
-    parts = components(pairs)
-    cut = materialize(parts.join(parts.groupBy("component").agg(F.ceil(F.count("*") / block).alias("cuts")), "component").select("node", "component", "cuts"), "cuts")
-    of_b = pairs.join(cut, pairs.b == cut.node)  # the larger end of a pair is never the smallest node of its component
+    cuts = pairs.groupBy("a").agg(F.ceil(F.count("*") / cut).alias("cuts")).where("cuts > 1")
+    salted = pairs.join(materialize(cuts, "cuts"), "a", "left")
     blocks = max(64, pairs.count() // together)
-    part = F.xxhash64("component", F.pmod(F.xxhash64("b"), F.col("cuts")))
-    placed = materialize(of_b.select("a", "b", F.pmod(part, F.lit(blocks)).alias("block")), "placed")
+    part = F.xxhash64("a", F.when(F.col("cuts").isNotNull(), F.pmod(F.xxhash64("b"), F.col("cuts"))))
+    placed = materialize(salted.select("a", "b", F.pmod(part, F.lit(blocks)).alias("block")), "placed")
     wanted = placed.select(F.col("a").alias("id"), "block").union(placed.select("b", "block")).groupBy("id").agg(F.collect_set("block").alias("blocks"))
     data = fetch(materialize(wanted, "wanted")).select(F.explode("blocks").alias("block"), "id", "data")
 
     def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         sets = dict(zip(right["id"], to_sets(list(right["data"])), strict=True))
-        kept = []
-        for a, b in zip(left["a"], left["b"], strict=True):
-            x, y = sets[a], sets[b]
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.searchsorted(y, x)
-            at[at == len(y)] = 0
-            both = int((y[at] == x).sum()) if len(y) else 0
-            kept.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-        return left.loc[kept, ["a", "b"]]
+        size = {i: len(v) for i, v in sets.items()}
+        a, b = (left[c].map(size).to_numpy() for c in "ab")
+        left = left[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
+        both = overlaps([sets[i] for i in left["a"]], [sets[i] for i in left["b"]])
+        total = left["a"].map(size).to_numpy() + left["b"].map(size).to_numpy() - both
+        return left.loc[(both > 0) & (100 * both >= percent * total), ["a", "b"]]
 
     return placed.groupBy("block").cogroup(data.groupBy("block")).applyInPandas(check, "a long, b long")
 
@@ -221,7 +276,10 @@ def joined(parts: DataFrame, members: DataFrame, fetch: Callable[[DataFrame], Da
     """
     named = members.join(parts.withColumnRenamed("node", "id"), "id", "left").select("k0", "id", F.coalesce("component", "id").alias("component"))
     placed = materialize(tiles_of(materialize(named, "crowded"), block), "tiled")
-    batches = max(64, placed.count() // together)
+    rows = placed.count()
+    if not rows:
+        return parts
+    batches = max(64, rows // together)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("tile"), F.lit(batches)))
     wanted = materialize(placed.groupBy("id").agg(F.collect_set("block").alias("blocks")), "tile-wanted")
     data = fetch(wanted).select(F.explode("blocks").alias("block"), "id", "data")

@@ -62,8 +62,8 @@ class Words:
     doc_starts: np.ndarray
 
 
-def chunks(texts: list, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``limit`` characters in each, one text at least."""
+def chunks(texts: list, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``limit`` characters in each, one text at least; few enough that their hashes stay in a core's cache."""
     begin = size = 0
     for i, text in enumerate(texts):
         length = len(text or "")
