@@ -1,13 +1,14 @@
 """Embedding near-duplicates: all pairs over a cosine threshold, by a dual traversal of a cover tree.
 
-Vectors with equal components are one class. The upper levels of the tree, with radii that halve from
-level to level, are laid out on a bounded sample of classes; every class then descends them, and each
-node's covering radius is the largest distance of all classes below it, so the bounds hold for the whole
-table. The traversal starts with the pair (root, root) and drops a pair of nodes where the distance of
-their centres exceeds the sum of their covering radii and the distance that the threshold allows. The
-pairs of leaves that remain are compared exactly, in tiles of bounded size, as matrix products in double
-precision. A node whose sample doesn't cluster at the next radius stays a leaf; on vectors without any
-structure that is the root, and the comparison is then every tile against every tile.
+Vectors with equal components are one class. The tree's levels are nested nets of a bounded sample of
+classes: a node's first child has its centre, children are more than half the node's radius apart, and
+radii halve from level to level down to the distance that the threshold allows. Every class then descends
+to a leaf, and each node's covering radius is the largest distance of all classes below it, so bounds hold
+for the whole table. The traversal starts with the pair (root, root). It drops a pair of nodes where the
+distance of their centres exceeds the sum of their covering radii and the allowed distance, counts all
+pairs at once where that sum stays under it, and splits the others. Pairs of leaves that remain are
+compared exactly, as matrix products in double precision, in tiles of bounded size that hold a large
+leaf's part or several leaves. On vectors without structure no bound holds and all tiles are compared.
 
 A tile returns each class's number of linked vectors and one edge to the smallest class of its own local
 component, never a list of pairs. Nulls, zero vectors and vectors with null or non-finite components link
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from seamark.llm.components import components
 from seamark.llm.storage import materialize
 
-SAMPLE, SAMPLE_BYTES = 4096, 16 << 20
+SAMPLE, SAMPLE_BYTES = 1024, 16 << 20
+#: Far over the rounding of distances of unit vectors; closer bounds decide nothing.
+SLACK = 1e-6
 LARGEST_TILE, SMALLEST_TILE, LEAST_GROUPS = 8192, 512, 12
 
 
@@ -41,36 +44,29 @@ class Node:
     children: list[Node] = field(default_factory=list)
 
 
-def lay_out(points: np.ndarray, least_radius: float, per_child: int = 8) -> tuple[Node, list[Node]]:
-    """The upper levels of a cover tree over unit vectors: nested nets whose radii halve from 2 on."""
+def lay_out(points: np.ndarray, least_radius: float) -> list[Node]:
+    """A cover tree over unit vectors, root first: nets with radii that halve from 2 on; a node is its children's first centre."""
     nodes: list[Node] = []
 
     def grow(inside: np.ndarray, centre: np.ndarray, radius: float) -> Node:
         node = Node(len(nodes), centre)
         nodes.append(node)
-        radius /= 2
-        if radius < least_radius or len(inside) < 4 * per_child:
+        near = np.linalg.norm(inside - centre, axis=1)
+        while radius >= least_radius and near.max() <= radius / 2:
+            radius /= 2  # a level at which the node is its only child
+        if radius / 2 < least_radius:
             return node
-        centres, near = [centre], np.linalg.norm(inside - centre, axis=1)
-        owner = np.zeros(len(inside), np.int64)
-        while (far := int(near.argmax())) >= 0 and near[far] > radius:
-            if (len(centres) + 1) * per_child > len(inside):
-                return node  # no clusters at this radius
+        centres, owner = [centre], np.zeros(len(inside), np.int64)
+        while near[far := int(near.argmax())] > radius / 2:
             away = np.linalg.norm(inside - inside[far], axis=1)
             owner[away < near] = len(centres)
             centres.append(inside[far])
             near = np.minimum(near, away)
-        if len(centres) == 1:
-            return grow_again(node, inside, radius)
-        node.children = [grow(inside[owner == k], c, radius) for k, c in enumerate(centres)]
+        node.children = [grow(inside[owner == k], c, radius / 2) for k, c in enumerate(centres)]
         return node
 
-    def grow_again(node: Node, inside: np.ndarray, radius: float) -> Node:
-        nodes.pop()
-        return grow(inside, node.centre, radius)
-
-    root = grow(points, points[0], 2.0)
-    return root, nodes
+    grow(points, points[0], 2.0)
+    return nodes
 
 
 def descend(root: Node, points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -87,24 +83,50 @@ def descend(root: Node, points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray
     return steps
 
 
-def leaf_pairs(root: Node, radii: dict[int, float], reach: float) -> list[tuple[int, int]]:
-    """Leaves that may hold points within ``reach`` of one another."""
-    found, todo = set(), [(root, root)]
+def traverse(nodes: list[Node], radii: np.ndarray, reach: float, at_once: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves to compare, and pairs of nodes whose points are all within ``reach``; a node without points has a radius of -1."""
+    centres = np.stack([n.centre for n in nodes])
+    inner = np.array([bool(n.children) for n in nodes])
+    below = [np.array([c.number for c in n.children if radii[c.number] >= 0], np.int64) for n in nodes]
+    compare, linked = [np.empty((0, 2), np.int64)], [np.empty((0, 2), np.int64)]
+    todo = [np.zeros((1, 2), np.int64)] if radii[0] >= 0 else []
     while todo:
-        a, b = todo.pop()
-        if a.number not in radii or b.number not in radii:
-            continue
-        if a is not b and np.linalg.norm(a.centre - b.centre) - radii[a.number] - radii[b.number] > reach + 1e-9:
-            continue
-        if not a.children and not b.children:
-            found.add((min(a.number, b.number), max(a.number, b.number)))
-        elif a is b:
-            todo += [(x, y) for i, x in enumerate(a.children) for y in a.children[i:]]
-        elif b.children and (not a.children or radii[b.number] >= radii[a.number]):
-            todo += [(a, y) for y in b.children]
-        else:
-            todo += [(x, b) for x in a.children]
-    return sorted(found)
+        pairs = todo.pop()
+        a, b = pairs.T
+        apart = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", centres[a], centres[b])))
+        cover = radii[a] + radii[b]
+        sure = apart + cover < reach - SLACK
+        linked.append(pairs[sure])
+        open_ = ~sure & ((a == b) | (apart - cover <= reach + SLACK))
+        ends = ~inner[a] & ~inner[b]
+        compare.append(pairs[open_ & ends])
+        split: list[np.ndarray] = []
+        for x, y in pairs[open_ & ~ends].tolist():
+            if x == y:
+                i, j = np.triu_indices(len(below[x]))
+                split.append(np.stack([below[x][i], below[x][j]], axis=1))
+            else:
+                if not inner[x] or (inner[y] and radii[y] > radii[x]):
+                    x, y = y, x
+                split.append(np.stack([below[x], np.full(len(below[x]), y)], axis=1))
+        if split:
+            found = np.concatenate(split)
+            todo += [found[at : at + at_once] for at in range(0, len(found), at_once)]
+    return np.concatenate(compare), np.concatenate(linked)
+
+
+def bundle(leaves: list[int], counts: dict[int, int], alone: set[int], size: int) -> tuple[dict[int, int], list[int]]:
+    """The bundle of each leaf, and the number of parts of each bundle: small leaves in a row share one, large ones are cut."""
+    of, held, last = {}, [], None
+    for leaf in leaves:
+        if leaf in alone or counts[leaf] > size or last is None or held[last] + counts[leaf] > size:
+            held.append(0)
+            last = len(held) - 1
+        of[leaf] = last
+        held[last] += counts[leaf]
+        if leaf in alone or counts[leaf] > size:
+            last = None
+    return of, [-(-n // size) for n in held]
 
 
 def unit_rows(vectors: DataFrame) -> DataFrame:
@@ -160,6 +182,29 @@ def tile_links(first: pd.DataFrame, second: pd.DataFrame | None, least: float) -
     return pd.DataFrame({"id": ids[some], "links": links[some].astype(np.int64), "root": ids[order[label[some]]]})
 
 
+def leaves_below(nodes: list[Node], some: set[int]) -> set[int]:
+    found, todo = set(), [nodes[k] for k in some]
+    while todo:
+        node = todo.pop()
+        todo += node.children
+        if not node.children:
+            found.add(node.number)
+    return found
+
+
+def roots_of(linked: np.ndarray, least_id: np.ndarray) -> dict[int, int]:
+    """For each node in a counted pair, the smallest id below all nodes that such pairs connect it with."""
+    root = {k: int(least_id[k]) for k in linked.ravel().tolist()}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in linked.tolist():
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     """Per row: vec_id, n_links and component_id."""
     rows = materialize(unit_rows(vectors), "units")
@@ -175,7 +220,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     common = max(set(kinds), key=lambda k: (kinds.count(k), k), default=0)
     points = np.array([np.frombuffer(r["unit"], np.float64) for r in sampled if r["bytes"] == common][: max(1, SAMPLE_BYTES // max(common, 1))])
     reach = float(np.sqrt(2 - 2 * least))
-    root, nodes = lay_out(points, reach / 2) if len(points) else (Node(0, np.zeros(0)), [])
+    nodes = lay_out(points, reach / 2) if len(points) else [Node(0, np.zeros(0))]
 
     def place_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +229,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
             at = np.flatnonzero(sizes == common)
             if len(at):
                 units = batch.column("unit").take(pa.array(at)).to_pylist()
-                for which, numbers, distances in descend(root, np.frombuffer(b"".join(units), np.float64).reshape(len(at), -1)):
+                for which, numbers, distances in descend(nodes[0], np.frombuffer(b"".join(units), np.float64).reshape(len(at), -1)):
                     leaf[at[which]] = numbers
                     for w, n, d in zip(at[which].tolist(), numbers.tolist(), distances.tolist(), strict=True):
                         path[w].append(n)
@@ -192,18 +237,28 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "unit")), pa.array(leaf), pa.array(path, pa.list_(pa.int64())), pa.array(away, pa.list_(pa.float64()))], names=["id", "n", "unit", "leaf", "path", "away"])
 
     settled = materialize(leads.mapInArrow(place_rows, "id long, n long, unit binary, leaf long, path array<long>, away array<double>"), "settled")
-    ways = settled.select(F.explode(F.arrays_zip("path", "away")).alias("of")).groupBy("of.path").agg(F.max("of.away").alias("radius"))
-    radii = {r["path"]: r["radius"] for r in ways.collect()}  # one row per node of the sampled tree
-    counts = {r["leaf"]: r["count"] for r in settled.groupBy("leaf").count().collect()}
-    pairs = leaf_pairs(root, radii, reach) + [(k, k) for k in counts if k < 0]
+    ways = settled.select("id", "n", F.explode(F.arrays_zip("path", "away")).alias("of")).groupBy("of.path")
+    seen = ways.agg(F.max("of.away").alias("radius"), F.sum("n").alias("n"), F.min("id").alias("least")).collect()  # one row per node of the sampled tree
+    radii, least_id, weight = np.full(len(nodes), -1.0), np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+    for r in seen:
+        radii[r["path"]], least_id[r["path"]], weight[r["path"]] = r["radius"], r["least"], r["n"]
+    counts = {r["leaf"]: r["count"] for r in settled.groupBy("leaf").count().collect()}  # one row per leaf
+    compared, linked = traverse(nodes, radii, reach)
 
     size = min(LARGEST_TILE, max(SMALLEST_TILE, total // LEAST_GROUPS))
-    cuts = {leaf: -(-n // size) for leaf, n in counts.items()}
+    leaves = sorted(counts)
+    # a leaf below a node that is in a counted pair must not share a tile with others, which could count that pair again
+    alone = {k for k in leaves if k < 0} | leaves_below(nodes, set(linked.ravel().tolist()))
+    of, cuts = bundle(leaves, counts, alone, size)
+    pairs = sorted({(min(of[a], of[b]), max(of[a], of[b])) for a, b in compared.tolist()} | {(of[k], of[k]) for k in counts if k < 0})
     sides = [(a, b, cuts[a], cuts[b], a, 0) for a, b in pairs] + [(a, b, cuts[a], cuts[b], b, 1) for a, b in pairs]
     spark = vectors.sparkSession
-    meets = spark.createDataFrame(sides, "a long, b long, cuts_a long, cuts_b long, leaf long, side int")  # two rows per pair of leaves of the sampled tree
+    # of the size of the sampled tree: one row per leaf, and two per pair of bundles of leaves
+    bundles = spark.createDataFrame(sorted(of.items()), "leaf long, bundle long")
+    meets = spark.createDataFrame(sides, "a long, b long, cuts_a long, cuts_b long, bundle long, side int")
     mine = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 0, F.col("cuts_a")).otherwise(F.col("cuts_b")))
-    met = settled.select("id", "n", "unit", "leaf").join(F.broadcast(meets), "leaf").withColumn("mine", mine)
+    bundled = settled.select("id", "n", "unit", "leaf").join(F.broadcast(bundles), "leaf")
+    met = bundled.join(F.broadcast(meets), "bundle").withColumn("mine", mine)
     theirs = F.when(F.col("side") == 0, F.col("cuts_b")).otherwise(F.col("cuts_a"))
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0), theirs - 1)))
     x, y = F.when(F.col("side") == 0, F.col("mine")).otherwise(F.col("other")), F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("mine"))
@@ -218,6 +273,17 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
         return tile_links(first, second, least)
 
     found = materialize(tiles.groupBy("a", "b", "x", "y").applyInPandas(compare, "id long, links long, root long"), "tile-links")
+    # nodes of counted pairs: how many vectors a class below is linked with at once, and the smallest class that it so reaches
+    group = roots_of(linked, least_id)
+    sure = np.zeros(len(nodes), np.int64)
+    np.add.at(sure, linked[:, 0], weight[linked[:, 1]])
+    np.add.at(sure, linked[linked[:, 0] != linked[:, 1], 1], weight[linked[linked[:, 0] != linked[:, 1], 0]])
+    own = set(linked[linked[:, 0] == linked[:, 1], 0].tolist())
+    told = [(k, int(sure[k]), k in own, g) for k, g in sorted(group.items())]
+    counted = spark.createDataFrame(told, "node long, sure long, own boolean, root long")
+    at_once = settled.select("id", "n", F.explode("path").alias("node")).join(F.broadcast(counted), "node")
+    at_once = at_once.select("id", (F.col("sure") - F.when(F.col("own"), F.col("n")).otherwise(0)).alias("links"), "root")
+    found = found.union(at_once)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     named = classes.join(links, "id", "left").join(parts, classes.id == parts.node, "left")

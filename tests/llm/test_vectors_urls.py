@@ -36,22 +36,70 @@ def test_near_vectors(spark):
     assert all(got[i] == (0, i) for i in (1000, 1001, 1002, 1003, 1006))
 
 
-def test_tree_bounds_drop_no_pair():
+def settle(points, nodes):
+    leaf, radii = np.empty(len(points), int), np.full(len(nodes), -1.0)
+    for rows, numbers, distances in embeddings.descend(nodes[0], points):
+        leaf[rows] = numbers
+        radii[numbers[0]] = distances.max()
+    return leaf, radii
+
+
+def below(nodes, k):
+    return embeddings.leaves_below(nodes, {k})
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.15, 3.0])
+def test_tree_bounds_drop_no_pair(spread):
     rng = np.random.default_rng(1)
-    centres = rng.normal(size=(6, 8))
-    points = np.concatenate([c + 0.05 * rng.normal(size=(80, 8)) for c in centres])
+    centres = rng.normal(size=(12, 8))
+    points = np.concatenate([c + spread * rng.normal(size=(80, 8)) for c in centres])
     points /= np.linalg.norm(points, axis=1, keepdims=True)
-    root, nodes = embeddings.lay_out(points[::2], 0.2)
-    assert root.children
-    leaf, radii = np.empty(len(points), int), {}
-    for rows, numbers, distances in embeddings.descend(root, points):
-        leaf[rows] = numbers
-        radii[int(numbers[0])] = max(radii.get(int(numbers[0]), 0), float(distances.max()))
-    pairs = set(embeddings.leaf_pairs(root, radii, float(np.sqrt(0.2))))
-    near = np.argwhere(points @ points.T >= 0.9)
-    assert all((min(leaf[a], leaf[b]), max(leaf[a], leaf[b])) in pairs for a, b in near)
-    leaves = len(set(leaf))
-    assert len(pairs) < leaves * (leaves + 1) / 2
+    reach = float(np.sqrt(0.2))
+    nodes = embeddings.lay_out(points[::2], reach / 2)
+    assert nodes[0].children
+    leaf, radii = settle(points, nodes)
+    compared, linked = embeddings.traverse(nodes, radii, reach)
+    pairs = {(min(a, b), max(a, b)) for a, b in compared.tolist()}
+    sure = [(x, y) for a, b in linked.tolist() for x in below(nodes, a) for y in below(nodes, b)]
+    sure = {(min(a, b), max(a, b)) for a, b in sure}
+    near = points @ points.T >= 0.9
+    assert all(((min(leaf[a], leaf[b]), max(leaf[a], leaf[b])) in pairs) != ((min(leaf[a], leaf[b]), max(leaf[a], leaf[b])) in sure) for a, b in np.argwhere(near))
+    for a, b in sure:
+        assert near[np.ix_(leaf == a, leaf == b)].all()
+    if spread < 1:
+        assert len(pairs) < len(set(leaf)) * (len(set(leaf)) + 1) / 4
+    assert spread > 0.1 or len(linked)
+
+
+def test_tree_compares_few_pairs_of_clustered_vectors():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(500, 64))[rng.integers(0, 500, 100_000)] + 0.03 * rng.normal(size=(100_000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    reach = float(np.sqrt(0.2))
+    nodes = embeddings.lay_out(points[: embeddings.SAMPLE], reach / 2)
+    leaf, radii = settle(points, nodes)
+    compared, linked = embeddings.traverse(nodes, radii, reach)
+    counts = np.bincount(leaf, minlength=len(nodes)).astype(float)
+    assert (counts[compared[:, 0]] * counts[compared[:, 1]]).sum() < 0.25 * len(points) ** 2
+
+
+def test_vectors_of_a_tight_cluster(spark):
+    """A pair of nodes that lies in reach as a whole is counted without comparing."""
+    rng = np.random.default_rng(5)
+    rows = np.concatenate([rng.normal(size=(1, 16)) + 0.01 * rng.normal(size=(300, 16)), rng.normal(size=(60, 16)), np.ones((20, 16)) + 0.2 * rng.normal(size=(20, 16))])
+    table = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(rows[rng.permutation(len(rows))])]
+    table += [(1000 + i, v) for i, v in table[:30]]
+    units = np.array([np.array(v) / np.linalg.norm(v) for _, v in table])
+    mask = units @ units.T >= 0.9
+    np.fill_diagonal(mask, False)
+    ids = [i for i, _ in table]
+    want = roots(ids, [(ids[a], ids[b]) for a, b in np.argwhere(mask)])
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(spark.createDataFrame(table, "vec_id long, embedding array<float>")).collect()}
+    assert got == {i: (int(m.sum()), want[i]) for i, m in zip(ids, mask, strict=True)}
+
+
+def test_vectors_of_an_empty_table(spark):
+    assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
 #: As the contract of the query states them.
