@@ -13,14 +13,6 @@ from pyspark.sql import functions as F
 
 from seamark.llm.storage import materialize
 
-BROADCAST_BYTES = 48 << 20
-
-
-def join_sized(large: DataFrame, small: DataFrame, on: list[str], how: str, row_bytes: int) -> DataFrame:
-    """A join that broadcasts ``small``, a materialised table, if its counted rows stay within BROADCAST_BYTES; else a shuffled one."""
-    fits = small.count() * row_bytes <= BROADCAST_BYTES
-    return large.join(F.broadcast(small) if fits else small, on, how)
-
 
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("high", "low").union(edges.select(F.col("low"), F.col("high"))).toDF("node", "other")

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from seamark.llm.wordhash import chunks
 
 FEATURES = 4096
+#: Texts counted at once: a row of counts takes 32 KB.
+TEXTS = 500
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -104,21 +106,24 @@ def fit(labelled: DataFrame, per_language: int = 400, max_languages: int = 200,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for low, high in chunks(texts):
+            for low, high in chunks(texts, most=TEXTS):
                 grams, has = gram_counts(texts[low:high])
-                rows = [np.minimum(g, 65535).astype("<u2").tobytes() if h else None for g, h in zip(grams, has, strict=True)]
+                rows = [np.stack([at := np.flatnonzero(g), np.minimum(g[at], 65535)]).astype("<u2").tobytes() if h else None for g, h in zip(grams, has, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("lang").slice(low, high - low), pa.array(rows, pa.binary())], names=["lang", "grams"])
 
     sample = labelled.where(place < rates[F.col("lang")]).select("lang", "text").mapInArrow(count, "lang string, grams binary")
     rows = sorted((r["lang"], bytes(r["grams"])) for r in sample.where("grams is not null").collect())  # about per_language rows for each language
     if not rows:
         return None
-    grams = np.stack([np.frombuffer(g, "<u2") for _, g in rows])
-    idf = (np.log((1 + len(rows)) / (1 + (grams > 0).sum(axis=0))) + 1).astype(np.float32)
-    vectors = unit(np.log1p(grams.astype(np.float32)) * idf)
+    found_in = sum(np.bincount(np.frombuffer(g, "<u2").reshape(2, -1)[0], minlength=FEATURES) for _, g in rows)
+    idf = (np.log((1 + len(rows)) / (1 + found_in)) + 1).astype(np.float32)
     names, centres, least = [], [], []
     for lang in sorted({x for x, _ in rows}):
-        own = vectors[[x == lang for x, _ in rows]]
+        some = [np.frombuffer(g, "<u2").reshape(2, -1) for x, g in rows if x == lang]
+        counted = np.zeros((len(some), FEATURES), np.float32)
+        for row, (at, number) in zip(counted, some, strict=True):
+            row[at] = number
+        own = unit(np.log1p(counted) * idf)
         found = cluster(own, centroids)
         cosines = own @ found.T
         near = cosines.argmax(axis=1)
@@ -135,7 +140,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for low, high in chunks(texts):
+            for low, high in chunks(texts, most=TEXTS):
                 grams, has = gram_counts(texts[low:high])
                 if model:
                     best, cosines = model.predict(grams)

@@ -10,7 +10,7 @@ bands and text. Only the last step takes the texts again, and joins them to the
 
 Blank lines are never removed. Null texts stay null. Documents keep their rows even where no line is
 left (then the text is empty, or what blank lines leave). Rows with equal doc_ids count as one document,
-so each of them keeps that document's lines; a row with a null doc_id is told apart by its text. Empty
+so each of them keeps that document's lines; a row with a null doc_id is named by a hash of its text. Empty
 input gives no rows. Columns other than doc_id and text are returned as they came, but n_chars is counted
 anew, and n_lines and n_removed are replaced.
 """
@@ -27,14 +27,12 @@ from pyspark.sql import functions as F
 
 from seamark.llm.components import components
 from seamark.llm.neighbours import bucket_pairs, candidate_pairs, confirm, distinct_by_owner, joined
-from seamark.llm.storage import materialize
+from seamark.llm.storage import free_name, materialize
 from seamark.llm.wordhash import chunks, mix, powers, span_hashes
 
 SHINGLE, BANDS, ROWS = 8, 12, 4
 BINS = BANDS * ROWS
 NONE = np.iinfo(np.uint32).max
-#: Names that carry a row's key and removed lines beside a caller's columns.
-ID, VERSION, FOUND = "__line_dedup_id", "__line_dedup_version", "__line_dedup_found"
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +145,7 @@ def removed_lines(told: DataFrame, parts: DataFrame) -> DataFrame:
     grouped = materialize(grouped.select("hash", F.coalesce("component", "hash").alias("component"), "first"), "grouped")
     keepers = grouped.groupBy("component").agg(F.min("first").alias("keep"))
     affected = materialize(grouped.join(keepers, "component").select("hash", "component", "keep"), "affected")
-    found = at.join(affected, "hash").groupBy("id", "version").agg(F.collect_list(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
+    found = at.join(affected, "hash").groupBy("id", "version").agg(F.collect_set(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
     return materialize(found, "found")
 
 
@@ -170,14 +168,15 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without repeated lines, with n_lines and n_removed added."""
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
+    key, version_key, found_key = (free_name(docs, n) for n in ("__id", "__version", "__found"))
     told = materialize(read_lines(docs), "lines")
     items = told.where("hash is not null").select(F.col("hash").alias("id"), "norm", "bands")
     found = removed_lines(told, similar_parts(items, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, some = batch.column("text"), batch.column(FOUND).is_valid()
-            left, numbers = strip_lines(text.filter(some).to_pylist(), batch.column(FOUND).filter(some).to_pylist())
+            text, some = batch.column("text"), batch.column(found_key).is_valid()
+            left, numbers = strip_lines(text.filter(some).to_pylist(), batch.column(found_key).filter(some).to_pylist())
             removed = pc.replace_with_mask(pa.array(np.zeros(len(batch), np.int64)), some, pa.array(numbers, pa.int64()))
             text = pc.replace_with_mask(text, some, pa.array(left, text.type))
             columns = [text if c == "text" else batch.column(c) for c in [*names, "n_lines"]]
@@ -185,9 +184,9 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     version = F.xxhash64("text")
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    keyed = docs.withColumn(ID, F.coalesce(F.col("doc_id").cast("long"), version)).withColumn(VERSION, version)
-    marked = keyed.join(found.toDF(ID, VERSION, FOUND), [ID, VERSION], "left")
-    marked = marked.select(*names, F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"), FOUND)
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), version)).withColumn(version_key, version)
+    marked = keyed.join(found.toDF(key, version_key, found_key), [key, version_key], "left")
+    marked = marked.select(*names, F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"), found_key)
     schema = marked.select(*names, "n_lines", F.lit(0).cast("long").alias("n_removed")).schema
     left = marked.mapInArrow(run, schema)
     if "n_chars" in names:

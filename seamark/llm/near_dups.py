@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.components import components, join_sized
+from seamark.llm.components import components
 from seamark.llm.neighbours import candidate_pairs, confirm, estimate_filter, joined, prefixes
 from seamark.llm.storage import materialize
 from seamark.llm.wordhash import chunks, mix, shingle_set, words
@@ -82,14 +82,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     pairs, crowded = candidate_pairs(leads, lambda some: prefixes(some, TREES, HASHES // TREES, DEPTHS), percent)
     likely = materialize(estimate_filter(pairs, leads, LEAST_ESTIMATE), "likely")
 
+    # the texts of documents that met another, once for all comparisons
+    met = likely.select(F.col("a").alias("id")).union(likely.select("b")).union(crowded.select("id")).distinct()
+    named = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    met_texts = materialize(named.join(materialize(met, "met-documents"), "id"), "met-texts")
+
     def fetch(wanted: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 sets = [s.tobytes() for s in document_sets(batch.column("text").to_pylist(), shingle)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("blocks"), pa.array(sets, pa.binary())], names=["id", "blocks", "data"])
 
-        texts = join_sized(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), wanted, ["id"], "inner", 48)
-        return texts.select("id", "blocks", "text").mapInArrow(run, "id long, blocks array<long>, data binary")
+        return met_texts.join(wanted, "id").select("id", "blocks", "text").mapInArrow(run, "id long, blocks array<long>, data binary")
 
     to_sets = lambda sets: [np.frombuffer(d, np.uint64) for d in sets]
     links = materialize(confirm(likely, fetch, to_sets, percent), "links")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.components import components, join_sized
+from seamark.llm.components import components
 from seamark.llm.storage import materialize
 
 WINDOW = 8
@@ -253,7 +253,7 @@ def tiles_of(members: DataFrame, block: int) -> DataFrame:
     whole = counted.groupBy("k0").agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where("kinds > 1")
     regions = materialize(whole.groupBy("n", "x", "y").agg(F.min("k0").alias("k0")).select("k0"), "regions")
     owner = F.when(F.col("n") >= block, F.col("component"))
-    owned = join_sized(counted, regions, ["k0"], "left_semi", 8).select("k0", "component", "n", owner.isNull().alias("shared"), F.coalesce(owner, F.lit(0)).alias("owner"))
+    owned = counted.join(regions, "k0", "left_semi").select("k0", "component", "n", owner.isNull().alias("shared"), F.coalesce(owner, F.lit(0)).alias("owner"))
     cuts = owned.groupBy("k0", "shared", "owner").agg(F.ceil(F.sum("n") / block).alias("cuts"))
     cuts = materialize(cuts, "region-cuts")
     name = F.xxhash64("k0", "shared", "owner", "cut")
@@ -264,7 +264,7 @@ def tiles_of(members: DataFrame, block: int) -> DataFrame:
     tiles = materialize(tiles, "tiles")
     sides = tiles.select("tile", F.lit(0).alias("side"), F.col("block_x").alias("block")).union(tiles.where("block_x != block_y").select("tile", F.lit(1), "block_y"))
     kinds = materialize(owned.join(cuts, ["k0", "shared", "owner"]).select("k0", "component", "shared", "owner", "cuts"), "region-kinds")
-    rows = join_sized(members, kinds, ["k0", "component"], "inner", 40)
+    rows = members.join(kinds, ["k0", "component"])
     cut = F.pmod(F.xxhash64("id", F.lit(2)), F.col("cuts"))
     return rows.withColumn("cut", cut).select(name.alias("block"), "id", "component").join(sides, "block").select("tile", "side", "id", "component")
 
@@ -310,7 +310,7 @@ def joined(parts: DataFrame, members: DataFrame, fetch: Callable[[DataFrame], Da
         return parts
     higher = components(across).select(F.col("node").alias("part"), F.col("component").alias("root"))
     higher = materialize(higher, "higher")
-    moved = join_sized(parts, higher.withColumnRenamed("part", "component"), ["component"], "left", 16)
+    moved = parts.join(higher.withColumnRenamed("part", "component"), "component", "left")
     return materialize(moved.select("node", F.coalesce("root", "component").alias("component")).union(higher), "joined")
 
 

@@ -22,13 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.storage import materialize
+from seamark.llm.storage import free_name, materialize
 from seamark.llm.wordhash import SPACE, Words, chunks, mix, span_hashes, windows, words
 
 #: Measures, and the hash and number of words of each distinct line.
 MEASURE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, text_hash long, line_hashes array<long>, line_words array<int>"
-#: Carries the hashes to remove beside a caller's columns.
-REMOVED = "__removed_lines"
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 FOLD = np.arange(256, dtype=np.uint8)
@@ -164,18 +162,18 @@ def strip_lines(texts: list, removed: list[np.ndarray]) -> list[str]:
 
 def cleaned(docs: DataFrame, verdicts: DataFrame, row: str) -> DataFrame:
     """Kept documents without their boilerplate lines, n_chars counted anew; ``verdicts`` are of ``judged`` with the same ``row``."""
-    names = docs.columns
+    names, removed = docs.columns, free_name(docs, "__removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = strip_lines(batch.column("text").to_pylist(), [np.array(x, np.int64) for x in batch.column(REMOVED).to_pylist()])
+            left = strip_lines(batch.column("text").to_pylist(), [np.array(x, np.int64) for x in batch.column(removed).to_pylist()])
             columns = [pa.array(left, pa.string()) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", F.col("removed").alias(REMOVED)), "verdicts")
+    told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", F.col("removed").alias(removed)), "verdicts")
     left = docs.join(told.where("kept").drop("kept"), row)  # the two branches share one exchange of the texts
-    same = left.where(F.col(REMOVED).isNull())
-    cut = left.where(F.col(REMOVED).isNotNull()).mapInArrow(run, docs.schema)
+    same = left.where(F.col(removed).isNull())
+    cut = left.where(F.col(removed).isNotNull()).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return same.select(*names).union(cut)

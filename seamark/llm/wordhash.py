@@ -62,12 +62,12 @@ class Words:
     doc_starts: np.ndarray
 
 
-def chunks(texts: list, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about ``limit`` characters in each, one text at least; few enough that their hashes stay in a core's cache."""
+def chunks(texts: list, limit: int = 1 << 18, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``limit`` characters and up to ``most`` texts in each, one text at least; few enough that their hashes stay in a core's cache."""
     begin = size = 0
     for i, text in enumerate(texts):
         length = len(text or "")
-        if size and size + length > limit:
+        if i > begin and (size + length > limit or i - begin == most):
             yield begin, i
             begin, size = i, 0
         size += length + 1

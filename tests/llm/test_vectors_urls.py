@@ -1,6 +1,8 @@
 """Embeddings and URLs against brute force, and the pipeline end to end."""
 
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -140,6 +142,35 @@ def test_pipeline(spark, sf_dir):
     assert pieces.where("start = 0").count() == docs.count()
 
 
+def test_pipeline_on_odd_documents(spark):
+    """Nulls, repeats, clashing names and a long line in every stage; and the same of no rows."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(words, k=80)) + f"\nline of {i}" for i in range(30)]
+    rows = [(i, t, "en", ["a", None][i % 2], 1, "x", "y", "z") for i, t in enumerate(texts)]
+    rows += [rows[0], (None, texts[1], None, None, None, None, None, None), (None, None, "en", "a", 0, "", "", ""), (7, "", "en", "a", 0, "", "", ""), (8, "short", "en", "a", 5, "", "", "")]
+    rows.append((500, "long " * 60 + "".join(rng.choices("abcdef", k=200_000)) + " " + " ".join(words), "en", "a", 1, "x", "y", "z"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __row string, __copy string, __found string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), "").collect() == [], name
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns, name
+        got = found.collect()
+        assert {r["__found"] for r in got} <= {"x", "y", "z", "", None} and {r["doc_id"] for r in got} <= {r[0] for r in rows}
+        if name == "quality rules":
+            assert {r["doc_id"] for r in got} == {*range(30), None, 500} and len(got) == 33
+        if name == "line dedup":
+            assert len(got) == len(rows) and sum((r["text"] or "").startswith(texts[0].split("\n")[0]) for r in got) == 2
+            assert sum((r["text"] or "").startswith(texts[1].split("\n")[0]) for r in got) == 1
+        if name == "near-duplicates":
+            assert len(got) == len(rows) - 2 and sum(r["text"] == texts[0] for r in got) == 1
+        if name == "mixing":
+            assert max(Counter(r["text"] for r in got if r["text"] and r["text"] not in texts[:2]).values()) <= 2
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert sum(r["start"] == 0 for r in pieces) == len(rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), "").collect() == []
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_same_rows_as_sql(spark, sf_dir, name):
     import duckdb
