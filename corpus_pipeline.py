@@ -1,9 +1,16 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next stage's docs. All but the last return the columns of documents. What a stage decides
-about a row travels as a row number and a verdict; texts are joined to it, by broadcast where the
-counted verdicts are small enough.
+again as the next stage's docs. All but the last return the columns of documents, with texts and n_chars
+as the stage leaves them. Rows are told apart by a row number that is written with them, so null and
+repeated doc_ids are documents like others; names of such columns are made to differ from the caller's.
+
+quality rules: a null, empty or short text goes, as do depleted ones; boilerplate lines leave the others.
+line dedup: every row stays, null texts stay null, and a text may become empty; rows with equal doc_ids
+keep that doc_id's lines. near-duplicates: the first row of each group stays, repeated rows are copies;
+null and wordless texts stay. mixing: rows leave, or come twice; wordless ones weigh nothing and
+may stay. packing: every row gives pieces, an empty text one of the end id alone.
+Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -13,21 +20,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamark.llm import line_dedup, mixing, near_dups, packing, quality, storage
-from seamark.llm.components import join_sized
 
-ROW = "__row"
 #: The tilts and greedy fills of the last two stages are iterative, and so is connecting similar lines.
 ORACLE_SQL = None
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a row number that stays, since it is written with them."""
-    return storage.materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a row number that stays, since it is written with them, and its column."""
+    row = storage.free_name(docs, "__row")
+    return storage.materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs)
-    return quality.cleaned(rows, quality.judged(rows, row=ROW), ROW).select(*docs.columns)
+    rows, row = numbered(docs)
+    return quality.cleaned(rows, quality.judged(rows, row=row), row).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +41,18 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_dups.near_duplicates(docs, shingle=5, percent=80)
-    copies = storage.materialize(found.where("doc_id != component_id").select("doc_id").distinct(), "copies")
-    return join_sized(docs, copies, ["doc_id"], "left_anti", 8).select(*docs.columns)
+    rows, row = numbered(docs)
+    found = near_dups.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80)
+    copies = storage.materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias(row)), "copies")
+    return rows.join(copies, row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = numbered(docs)
-    copies = mixing.mix(rows, row=ROW).where("copies > 0").select(F.col("row_id").alias(ROW), "copies")
-    dealt = join_sized(rows, storage.materialize(copies, "dealt"), [ROW], "inner", 16)
-    return dealt.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).select(*docs.columns)
+    rows, row = numbered(docs)
+    copies, copy = storage.free_name(rows, "__copies"), storage.free_name(rows, "__copy")
+    dealt = mixing.mix(rows, row=row).where("copies > 0").select(F.col("row_id").alias(row), F.col("copies").alias(copies))
+    dealt = rows.join(storage.materialize(dealt, "dealt"), row)
+    return dealt.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
