@@ -40,6 +40,19 @@ def parts(text: Column) -> dict[str, Column]:
     }
 
 
+def places(rows: DataFrame, bucket: Column, *order: str) -> DataFrame:
+    """Adds place, the row's number from 1 in ``order``, of which ``bucket`` is a coarser key of bounded range, nulls first.
+
+    Rows are numbered within their buckets, and only the buckets' counts in one task.
+    """
+    cut = rows.withColumn("__bucket", bucket)
+    upto = F.sum("__count").over(Window.orderBy(F.col("__bucket").asc_nulls_first()))
+    bases = cut.groupBy("__bucket").agg(F.count("*").alias("__count")).select(F.col("__bucket").alias("__key"), (upto - F.col("__count")).alias("__base"))
+    within = F.row_number().over(Window.partitionBy("__bucket").orderBy(*order))
+    numbered = cut.withColumn("__within", within).join(bases, F.col("__bucket").eqNullSafe(F.col("__key")))
+    return numbered.select(*rows.columns, (F.col("__base") + F.col("__within")).alias("place"))
+
+
 def fragments(lines: DataFrame) -> DataFrame:
     """Adds group, count, number, armor and fill of fragmented lines; group is null for all others."""
     text = sentences.sentence(F.col("payload"))

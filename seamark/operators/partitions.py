@@ -114,11 +114,15 @@ def write_partitioned(rows: DataFrame, path: str, grain: str = "day", order: tup
     dealt.write.mode("append").options(**options).partitionBy(*names).parquet(path)
 
 
+#: All Parquet files but those whose names begin with "tmp-", which aren't finished.
+FINISHED = "{[!t]*,t,t[!m]*,tm,tm[!p]*,tmp,tmp[!-]*}.parquet"
+
+
 def read_partitioned(spark: SparkSession, roots: list[str], grain: str = "day", only: PartitionFilter | None = None) -> DataFrame:
     """One table of all roots; the filter is over partition columns, so that other directories aren't read."""
     rows = None
     for root in roots:
-        one = spark.read.option("pathGlobFilter", "[!t]*.parquet").option("recursiveFileLookup", "false").parquet(root)
+        one = spark.read.option("pathGlobFilter", FINISHED).option("recursiveFileLookup", "false").parquet(root)
         rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
     return rows.where((only or PartitionFilter()).condition(grain))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions import spatial, times
-from seamark.operators import decode, partitions
+from seamark.operators import decode, ordering, partitions
 from seamark.plans import base
 from seamark.plans.base import EV, KIND_SQL, Tables, c, query, sightings
 from seamark.plans.decode_queries import HILBERT_SQL, PLACE_SQL
@@ -142,17 +142,17 @@ def catalog_append(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query(f"with {EV}, placed as (select event_id, {PLACE_SQL} from ev), h as (select event_id, {HILBERT_SQL} as hilbert from placed) select event_id, row_number() over (order by hilbert, event_id) as place from h where event_id % 10 = 6")
+@query(f"with {EV}, placed as (select event_id, {PLACE_SQL} from ev), h as (select event_id, {HILBERT_SQL} as hilbert from placed) select event_id, row_number() over (order by hilbert, event_id) as place from h")
 def hilbert_order(t: Tables) -> DataFrame:
-    """Aids to navigation along the curve."""
-    rows = sightings(t).where("event_id % 10 = 6").select("event_id", spatial.hilbert(c("lat_raw") / 600000.0, c("lon_raw") / 600000.0).alias("hilbert"))
-    return rows.select("event_id", F.row_number().over(Window.orderBy("hilbert", "event_id")).cast("long").alias("place"))
+    """Every report's place along the curve."""
+    rows = sightings(t).select("event_id", spatial.hilbert(c("lat_raw") / 600000.0, c("lon_raw") / 600000.0).alias("hilbert"))
+    return ordering.places(rows, F.shiftright("hilbert", 42), "hilbert", "event_id").select("event_id", "place")
 
 
-@query(f"with {EV} select event_id, mmsi from ev where ((lat_raw / 600000.0 between 30 and 60 and lon_raw / 600000.0 between -160 and -60) or (lat_raw / 600000.0 between -45 and -10 and lon_raw / 600000.0 between -179 and -100)) and mmsi % 2 = 0")
+@query(f"with {EV} select event_id, mmsi from ev where ((lat_raw / 600000.0 between 30 and 60 and lon_raw / 600000.0 between -160 and -60) or (lat_raw / 600000.0 between -45 and -10 and lon_raw / 600000.0 between -179 and -100))")
 def geo_filter(t: Tables) -> DataFrame:
     rows = sightings(t).select("event_id", "mmsi", (c("lat_raw") / 600000.0).alias("latitude"), (c("lon_raw") / 600000.0).alias("longitude"), F.lit(1).alias("msg_type"))
-    return lines.subscription(rows.where("mmsi % 2 = 0"), [(30, -160, 60, -60), (-45, -179, -10, -100)], types=[1]).select("event_id", "mmsi")
+    return lines.subscription(rows, [(30, -160, 60, -60), (-45, -179, -10, -100)], types=[1]).select("event_id", "mmsi")
 
 
 @query("select event_type, count(*) as lines, cast(sum(strlen(props)) as bigint) as bytes, max(strlen(props)) as longest, count_if(strlen(props) >= 20) as oversize, min(ts) as first_ts, max(ts) as last_ts from events group by event_type")

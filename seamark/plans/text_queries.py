@@ -72,11 +72,15 @@ def tagged(t: Tables) -> DataFrame:
     return s.select("*", found.alias("payload"))
 
 
-@query(f"with {EV} select event_id, case event_id % 5 when 4 then '' when 3 then '' else 'tag' end as tag, case when event_id % 5 = 4 then false else true end as has_sentence, cast(case when event_id % 5 = 4 then 3 + length(cast(event_id as varchar)) else 0 end as bigint) as prefix_length from ev where event_id % 5 > 2")
+@query(f"""with {EV}, told as (
+  select event_id, case event_id % 5 when 0 then 's:S' || user_id || ',c:' || ts_ms // 1000 when 1 then 's:S' || user_id when 2 then 'c:' || ts_ms // 1000 end as tags from ev)
+select event_id, event_id % 5 <> 4 as has_sentence,
+       coalesce(tags || '*' || lpad(upper(to_hex(list_reduce(list_transform(string_split(tags, ''), lambda x: ascii(x)), lambda a, b: xor(a, b)))), 2, '0'), '') as tag,
+       cast(case event_id % 5 when 3 then 0 when 4 then 3 + length(cast(event_id as varchar)) else length(tags) + 5 end as bigint) as prefix_length
+from told""")
 def tag_split(t: Tables) -> DataFrame:
     p = c("payload")
-    told = tagged(t).where("event_id % 5 > 2")
-    return told.select("event_id", sentences.tag_block(p).alias("tag"), F.startswith(sentences.after_tag_block(p), F.lit("!")).alias("has_sentence"), F.length(sentences.prefix(p)).cast("long").alias("prefix_length"))
+    return tagged(t).select("event_id", sentences.tag_block(p).alias("tag"), F.startswith(sentences.after_tag_block(p), F.lit("!")).alias("has_sentence"), F.length(sentences.prefix(p)).cast("long").alias("prefix_length"))
 
 
 @query(f"with {EV} select event_id, case when event_id % 5 < 2 then 'S' || user_id end as station from ev")

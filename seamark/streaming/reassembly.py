@@ -12,12 +12,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from seamark.functions import sentences
 from seamark.operators import decode, dedup, ordering, partitions
 
-STATE = "first_ts long, tags string, start string, channel string, expected int, numbers array<int>, armors array<string>, last_fill string"
-OUT = "source string, ts_ms long, body string, tags string, complete boolean, raw string"
+STATE = "first_ts long, tags string, start string, channel string, expected int, numbers array<int>, armors array<string>, last_fill string, first_line long, payloads array<string>"
+OUT = "source string, line long, ts_ms long, body string, tags string, complete boolean, raw string"
 
 
 def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 600_000) -> DataFrame:
-    """source, ts_ms and payload of whole messages; fragments whose message isn't whole in time are rows with complete = false.
+    """source, line, ts_ms and payload of whole messages; fragments whose message isn't whole in time, or that another one
+    with their sequence id cuts short, are their original lines with complete = false.
 
     Time is that of the lines: a message waits until the watermark, which lies ``late`` behind the latest line, has passed
     its first line by ``timeout_ms``. Whole lines are never late.
@@ -27,30 +28,34 @@ def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 6
     station = sentences.tag_field(F.regexp_replace(before, r"\\", ""), "s")
     seconds = sentences.tag_seconds_ms(before) / 1000
     tags = F.concat_ws(",", F.when(seconds.isNotNull(), F.concat(F.lit("c:"), seconds.cast("long").cast("string"))), F.when(station.isNotNull(), F.concat(F.lit("s:"), station)))
-    whole = found.where("group is null").select("source", "ts_ms", "payload", F.lit(True).alias("complete"))
+    whole = found.where("group is null").select("source", "line", "ts_ms", "payload", F.lit(True).alias("complete"))
     parts = found.where("group is not null").withColumn("tags", tags)
 
-    def collect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def gather(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        names = ["source", "line", "ts_ms", "body", "tags", "complete", "raw"]
+        given_up = lambda held: [(key[0], held[8], held[0], "", held[1], False, line) for line in held[9]]
         if state.hasTimedOut:
-            first, tag, start, channel, _, numbers, armors, _ = state.get
+            out = given_up(state.get)
             state.remove()
-            raw = [f"fragment {n} of {key[1]}: {a}" for n, a in zip(numbers, armors, strict=True)]
-            yield pd.DataFrame({"source": key[0], "ts_ms": first, "body": "", "tags": tag, "complete": False, "raw": raw})
+            yield pd.DataFrame(out, columns=names)
             return
-        held = list(state.get) if state.exists else None
+        held = [list(x) if isinstance(x, (list, tuple)) else x for x in state.get] if state.exists else None
         out = []
         for batch in batches:
             for row in batch.sort_values("line").to_dict("records"):
+                if held is not None and row["number"] <= held[5][-1]:
+                    # a number that doesn't follow begins another message, as it does in a batch
+                    out += given_up(held)
+                    held = None
                 if held is None:
-                    held = [row["ts_ms"], row["tags"], row["start"], row["channel"], row["count"], [], [], "0"]
-                if row["number"] not in held[5] and 1 <= row["number"] <= held[4]:
-                    held[5].append(int(row["number"]))
-                    held[6].append(row["armor"])
-                    if row["number"] == held[4]:
-                        held[7] = row["fill"]
+                    held = [row["ts_ms"], row["tags"], row["start"], row["channel"], row["count"], [], [], "0", row["line"], []]
+                held[5].append(int(row["number"]))
+                held[6].append(row["armor"])
+                held[9].append(row["payload"])
+                if row["number"] == held[4]:
+                    held[7] = row["fill"]
                 if len(held[5]) >= held[4]:
-                    armor = "".join(a for _, a in sorted(zip(held[5], held[6], strict=True)))
-                    out.append((key[0], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{armor},{held[7]}", held[1], True, ""))
+                    out.append((key[0], held[8], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{''.join(held[6])},{held[7]}", held[1], True, ""))
                     held = None
         if held is None:
             if state.exists:
@@ -58,13 +63,13 @@ def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 6
         else:
             state.update(tuple(held))
             state.setTimeoutTimestamp(max(held[0], state.getCurrentWatermarkMs()) + timeout_ms)
-        yield pd.DataFrame(out, columns=["source", "ts_ms", "body", "tags", "complete", "raw"])
+        yield pd.DataFrame(out, columns=names)
 
-    columns = parts.select("source", "group", "line", "ts_ms", "tags", "start", "channel", F.col("count").cast("int").alias("count"), F.col("number").cast("int").alias("number"), "armor", "fill", F.timestamp_millis("ts_ms").alias("ts"))
-    put = columns.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(collect, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    columns = parts.select("source", "group", "line", "ts_ms", "tags", "start", "channel", F.col("count").cast("int").alias("count"), F.col("number").cast("int").alias("number"), "armor", "fill", "payload", F.timestamp_millis("ts_ms").alias("ts"))
+    put = columns.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(gather, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     sealed = sentences.closed(F.col("body"), "!")
     tagged = F.when(F.col("tags") == "", sealed).otherwise(F.concat(F.lit("\\"), "tags", F.lit("*"), sentences.checksum(F.col("tags")), F.lit("\\"), sealed))
-    joined = put.select("source", "ts_ms", F.when(F.col("complete"), tagged).otherwise(F.col("raw")).alias("payload"), "complete")
+    joined = put.select("source", "line", "ts_ms", F.when(F.col("complete"), tagged).otherwise(F.col("raw")).alias("payload"), "complete")
     return whole.unionByName(joined)
 
 
@@ -75,7 +80,7 @@ def write_tables(batch: DataFrame, root: str, eta_year: int, grain: str = "day")
         present = {r["kind"] for r in parsed.select("kind").distinct().collect()}  # eight kinds at most
         for table, rows in decode.route(parsed, eta_year).items():
             if decode.KINDS[table] in present:
-                kept = dedup.dedup(rows, table, ("source", "payload"), grain)
+                kept = dedup.dedup(rows, table, ("source", "line", "payload"), grain).drop("line")
                 order = ("hilbert", "ts_ms") if table in ("meteo", "atons") else ("ts_ms",)
                 partitions.write_partitioned(kept, f"{root}/{table}", grain, order)
     finally:

@@ -25,6 +25,15 @@ def test_since_keeps_partitions_that_end_later(spark):
     assert sorted(r.day for r in kept) == ["04", "05"]
 
 
+def test_reads_all_but_unfinished_files(spark, tmp_path):
+    for at, name in enumerate(("t.parquet", "test-0.parquet", "tm.parquet", "tmp.parquet", "a.parquet", "tmp-1.parquet")):
+        folder = tmp_path / "root/year=2024/month=01/day=02"
+        spark.range(at, at + 1).coalesce(1).write.mode("overwrite").parquet(f"file://{tmp_path}/one")
+        folder.mkdir(parents=True, exist_ok=True)
+        next((tmp_path / "one").glob("part-*.parquet")).rename(folder / name)
+    assert sorted(r.id for r in partitions.read_partitioned(spark, [f"file://{tmp_path}/root"]).collect()) == [0, 1, 2, 3, 4]
+
+
 def test_new_partitions(spark):
     rows = [("a", 100), ("a", 300), ("b", 100), ("b", 200), ("c", 100), ("c", None)]
     files = spark.createDataFrame(rows, "day string, mtime_ms long")
