@@ -16,7 +16,8 @@ def resolve_timestamps(lines: DataFrame) -> DataFrame:
     """Adds ts_ms: the line's own tag time, else the time pending from lines before it, else its arrival.
 
     A capture line sets the pending time, as does a fragment with a tag time; a fragment without one leaves it
-    unless it is its message's last; every other line clears it. What a line does doesn't depend on the pending
+    unless it is its message's last; every other line clears it. Nothing is carried from one file to the next, if
+    lines have a column file. What a line does doesn't depend on the pending
     time before it, so the last line that did anything decides, and one window finds it.
     """
     text = sentences.sentence(F.col("payload"))
@@ -27,7 +28,8 @@ def resolve_timestamps(lines: DataFrame) -> DataFrame:
     keeps = F.col("__ais") & fragment & ~last & own.isNull()
     sets = F.when(captured.isNotNull(), captured).when(F.col("__ais") & fragment, own)
     after = F.when(captured.isNull() & keeps, F.lit(None)).otherwise(F.struct(sets.alias("value")))
-    before = Window.partitionBy("source").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    session = [c for c in ("source", "file") if c in lines.columns]
+    before = Window.partitionBy(*session).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     pending = F.last(after, ignorenulls=True).over(before)["value"]
     ts = F.coalesce(captured, F.when(F.col("__ais"), F.coalesce(own, pending)), F.col("arrival_ms"))
     return parsed.withColumn("ts_ms", ts).drop(*[c for c in parsed.columns if c.startswith("__")])

@@ -86,16 +86,17 @@ def not_completed(files: DataFrame, manifest: DataFrame, keys: list[str]) -> Dat
 
 
 def load_state(spark: SparkSession, path: str) -> int | None:
-    """The watermark saved at ``path``; None on a first run, or where the state can't be read."""
+    """The latest watermark saved at ``path``; None on a first run, or where the state can't be read."""
     try:
-        text = "".join(r[0] for r in spark.read.text(path).collect())
-        return int(json.loads(text)["watermark_ms"])
+        # one row a run
+        return max(int(json.loads(r[0])["watermark_ms"]) for r in spark.read.text(path).collect())
     except Exception:  # noqa: BLE001  a missing or broken state means a first run
         return None
 
 
 def save_state(spark: SparkSession, path: str, watermark_ms: int) -> None:
-    spark.createDataFrame([(json.dumps({"version": 1, "watermark_ms": watermark_ms}),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """Adds a state beside the earlier ones, so that a crash in between loses none."""
+    spark.createDataFrame([(json.dumps({"version": 1, "watermark_ms": watermark_ms}),)], "value string").coalesce(1).write.mode("append").text(path)
 
 
 def write_partitioned(rows: DataFrame, path: str, grain: str = "day", order: tuple[str, ...] = ("ts_ms",), level: int = 3, max_rows: int = 0) -> None:

@@ -43,8 +43,10 @@ def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 6
         out = []
         for batch in batches:
             for row in batch.sort_values("line").to_dict("records"):
-                if held is not None and row["number"] <= held[5][-1]:
-                    # a number that doesn't follow begins another message, as it does in a batch
+                if not 1 <= row["number"] <= row["count"]:
+                    continue
+                if held is not None and row["number"] in held[5]:
+                    # a number that comes again begins another message, as it does in a batch
                     out += given_up(held)
                     held = None
                 if held is None:
@@ -55,7 +57,8 @@ def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 6
                 if row["number"] == held[4]:
                     held[7] = row["fill"]
                 if len(held[5]) >= held[4]:
-                    out.append((key[0], held[8], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{''.join(held[6])},{held[7]}", held[1], True, ""))
+                    armor = "".join(a for _, a in sorted(zip(held[5], held[6], strict=True)))
+                    out.append((key[0], held[8], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{armor},{held[7]}", held[1], True, ""))
                     held = None
         if held is None:
             if state.exists:

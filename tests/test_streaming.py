@@ -10,14 +10,14 @@ SCHEMA = "source string, line long, ts_ms long, payload string"
 
 def test_reused_sequence_id_and_timeout(spark, tmp_path):
     source, out = (f"file://{tmp_path}/{n}" for n in ("in", "out"))
-    rows = [("x", 1, 1_700_000_000_000, PART_1), ("x", 2, 1_700_000_000_500, PART_1), ("x", 3, 1_700_000_001_000, PART_2), ("y", 4, 1_700_000_000_000, PART_1)]
+    rows = [("x", 1, 1_700_000_000_000, PART_1), ("x", 2, 1_700_000_000_500, PART_1), ("x", 3, 1_700_000_001_000, PART_2), ("y", 4, 1_700_000_000_000, PART_1), ("w", 7, 1_700_000_000_000, PART_2), ("w", 8, 1_700_000_000_000, PART_1)]
     for at, some in enumerate([rows, [("z", 5, 1_700_000_000_000 + 3 * 86_400_000, POSITION)], [("z", 6, 1_700_000_000_000 + 4 * 86_400_000, PART_1)]]):
         spark.createDataFrame(some, SCHEMA).coalesce(1).write.mode("append").parquet(source)
         found = reassembly.reassemble_stream(spark.readStream.schema(SCHEMA).parquet(source), late="1 second", timeout_ms=1000)
         found.writeStream.format("parquet").option("checkpointLocation", f"{out}-mark").trigger(availableNow=True).start(out).awaitTermination(120)
     got = [(r.source, r.line, r.payload if not r.complete else None, r.complete) for r in spark.read.parquet(out).collect()]
     assert ("x", 1, PART_1, False) in got and ("y", 4, PART_1, False) in got
-    assert ("x", 2, None, True) in got and ("z", 5, None, True) in got
+    assert ("w", 7, None, True) in got and ("x", 2, None, True) in got and ("z", 5, None, True) in got
 
 
 def test_restart_between_fragments(spark, tmp_path):
