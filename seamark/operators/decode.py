@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seamark.functions import bits, labels, sentences, spatial
+from seamark.functions import bits, labels, sentences, spatial, times
 from seamark.functions.settle import settled
 from seamark.operators import layouts
 
@@ -87,7 +87,12 @@ def positions(parsed: DataFrame) -> DataFrame:
 
 
 def key_columns(parsed: DataFrame) -> list[str]:
-    return [c for c in ("ts_ms", "source", "file", "line") if c in parsed.columns] + ["msg_type", "mmsi"]
+    return carried(parsed) + ["msg_type", "mmsi"]
+
+
+def carried(parsed: DataFrame) -> list[str]:
+    """Columns that tell where a row comes from, and its partition, if it has them."""
+    return [c for c in ("ts_ms", "source", "file", "line", *times.GRAINS) if c in parsed.columns]
 
 
 def eta_ms(month: Column, day: Column, hour: Column, minute: Column, year: Column) -> Column:
@@ -163,9 +168,8 @@ def atons(parsed: DataFrame) -> DataFrame:
 
 
 def other(parsed: DataFrame) -> DataFrame:
-    keys = [c for c in key_columns(parsed) if c not in ("msg_type", "mmsi")]
     named = F.when(F.coalesce("msg_type", F.lit(0)) == 0, "Unknown").otherwise(F.concat(F.lit("Type"), F.col("msg_type").cast("string")))
-    return parsed.where("kind = 'other'").select(*keys, "station", named.alias("msg_type"), "payload")
+    return parsed.where("kind = 'other'").select(*carried(parsed), "station", named.alias("msg_type"), "payload")
 
 
 def route(parsed: DataFrame, eta_year: int) -> dict[str, DataFrame]:

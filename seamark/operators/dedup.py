@@ -11,11 +11,12 @@ from seamark.functions import times
 KEYS = {"positions": ("msg_type",), "statics": (), "meteo": ("dac", "fid"), "binary": ("dac", "fid"), "atons": ("msg_type",)}
 
 
-def dedup(rows: DataFrame, table: str, order: tuple[str, ...], grain: str = "day") -> DataFrame:
-    """Keeps the first row, by ``order``, of each key; ``other`` keeps all."""
+def dedup(rows: DataFrame, table: str, order: tuple[str, ...], grain: str = "day", within: tuple[str, ...] = ()) -> DataFrame:
+    """Keeps the first row, by ``order``, of each key; ``other`` keeps all. Partitions are those of ts_ms, or what columns ``within`` say."""
     if table not in KEYS:
         return rows
-    key = Window.partitionBy(times.period_start(F.col("ts_ms"), grain), "ts_ms", "mmsi", *KEYS[table]).orderBy(*order)
+    part = within or (times.period_start(F.col("ts_ms"), grain),)
+    key = Window.partitionBy(*part, "ts_ms", "mmsi", *KEYS[table]).orderBy(*order)
     return rows.withColumn("__place", F.row_number().over(key)).where("__place = 1").drop("__place")
 
 

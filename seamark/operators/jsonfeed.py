@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from seamark.functions import bits, labels, spatial
 from seamark.functions.settle import settled
-from seamark.operators.decode import UNDER_WAY, eta_ms
+from seamark.operators.decode import UNDER_WAY, carried, eta_ms
 
 # Message type and the kind of row that it gives.
 MESSAGES = {
@@ -67,7 +67,7 @@ def kind() -> Column:
 
 
 def keys(parsed: DataFrame) -> list[Column | str]:
-    return [c for c in ("ts_ms", "source", "file", "line") if c in parsed.columns] + [F.col("body.MessageID").cast("int").alias("msg_type"), F.col("body.UserID").alias("mmsi")]
+    return carried(parsed) + [F.col("body.MessageID").cast("int").alias("msg_type"), F.col("body.UserID").alias("mmsi")]
 
 
 def positions(parsed: DataFrame) -> DataFrame:
@@ -119,8 +119,7 @@ def atons(parsed: DataFrame) -> DataFrame:
 
 
 def other(parsed: DataFrame) -> DataFrame:
-    names = [c for c in ("ts_ms", "source", "file", "line") if c in parsed.columns]
-    return parsed.where("kind = 'other'").select(*names, F.lit(None).cast("string").alias("station"), F.col("msg").alias("msg_type"), "payload")
+    return parsed.where("kind = 'other'").select(*carried(parsed), F.lit(None).cast("string").alias("station"), F.col("msg").alias("msg_type"), "payload")
 
 
 def route(parsed: DataFrame, eta_year: int) -> dict[str, DataFrame]:

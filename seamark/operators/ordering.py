@@ -65,10 +65,10 @@ def fragments(lines: DataFrame) -> DataFrame:
     )
 
 
-def occurrences(found: DataFrame) -> DataFrame:
+def occurrences(found: DataFrame, session: tuple[str, ...] = ("source",)) -> DataFrame:
     """Numbers the messages that share a group, since sequence ids come again: a fragment number that was
     already seen since the last message began, or that follows a complete message, begins another."""
-    order = Window.partitionBy("source", "group").orderBy("line")
+    order = Window.partitionBy(*session, "group").orderBy("line")
     again = F.coalesce(F.col("number") <= F.lag("number").over(order), F.lit(True))
     return found.withColumn("message", F.sum(F.when(again, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
@@ -80,29 +80,30 @@ def rebuilt(start: Column, channel: Column, armor: Column, fill: Column, tags: C
     return F.when(tags == "", whole).otherwise(F.concat(F.lit("\\"), tags, F.lit("*"), sentences.checksum(tags), F.lit("\\"), whole))
 
 
-def reassemble(lines: DataFrame) -> DataFrame:
-    """source, line (of the first fragment), ts_ms, payload and complete.
+def reassemble(lines: DataFrame, session: tuple[str, ...] = ("source",)) -> DataFrame:
+    """The columns of ``session``, line (of the first fragment), ts_ms, payload and complete.
 
+    Fragments of one message have equal columns ``session``, in which lines are in the order of line.
     Lines with source, line, ts_ms and payload; whole lines pass as they are. The fragments of a message that
     all came are one sentence with the first one's time and tags; others pass one by one without tags. Messages
     are bounded by their number of fragments, so no group grows.
     """
     found = fragments(lines)
-    whole = found.where("group is null").select("source", "line", "ts_ms", "payload", F.lit(True).alias("complete"))
-    numbered = occurrences(found.where("group is not null"))
+    whole = found.where("group is null").select(*session, "line", "ts_ms", "payload", F.lit(True).alias("complete"))
+    numbered = occurrences(found.where("group is not null"), session)
     before = sentences.prefix(F.col("payload"))
     tag = lambda key: sentences.tag_field(F.regexp_replace(before, r"\\", ""), key)
     seconds = sentences.tag_seconds_ms(before)
     tags = F.concat_ws(",", F.when(seconds.isNotNull(), F.concat(F.lit("c:"), F.expr("{} div 1000".format("seconds")))), F.when(F.col("station").isNotNull(), F.concat(F.lit("s:"), "station")))
     tagged = numbered.withColumn("seconds", seconds).withColumn("station", tag("s")).withColumn("tags", tags)
     part = F.struct("number", "armor", "fill", "line", "text")
-    messages = tagged.groupBy("source", "group", "message").agg(
+    messages = tagged.groupBy(*session, "group", "message").agg(
         F.array_sort(F.collect_list(part)).alias("parts"), F.max("count").alias("count"), F.countDistinct("number").alias("received"),
         F.min_by(F.struct("ts_ms", "tags", "start", "channel", "line"), "line").alias("first"),
     )
     complete = messages.where("received = count")
     joined = rebuilt(F.col("first.start"), F.col("first.channel"), F.array_join("parts.armor", ""), F.element_at("parts.fill", -1), F.col("first.tags"))
-    put = complete.select("source", F.col("first.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), joined.alias("payload"), F.lit(True).alias("complete"))
-    left = messages.where("received < count").select("source", "first", F.explode("parts").alias("part"))
-    rest = left.select("source", F.col("part.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), F.col("part.text").alias("payload"), F.lit(False).alias("complete"))
+    put = complete.select(*session, F.col("first.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), joined.alias("payload"), F.lit(True).alias("complete"))
+    left = messages.where("received < count").select(*session, "first", F.explode("parts").alias("part"))
+    rest = left.select(*session, F.col("part.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), F.col("part.text").alias("payload"), F.lit(False).alias("complete"))
     return whole.unionByName(put).unionByName(rest)

@@ -105,14 +105,51 @@ def write_partitioned(rows: DataFrame, path: str, grain: str = "day", order: tup
     Rows are dealt by partition with a rebalancing exchange, which splits partitions that are large and joins
     small ones, so that a day of a hundred times the usual traffic isn't one task's.
     """
+    rows, names = in_partitions(rows, grain)
+    dealt(rows, names, order).write.mode("append").options(**zstd(level, max_rows), **blooms(rows, names)).partitionBy(*names).parquet(path)
+
+
+def in_partitions(rows: DataFrame, grain: str) -> tuple[DataFrame, list[str]]:
+    """The rows with the partition columns of their ts_ms, and these columns' names, source before them if there is one."""
     columns = times.partition_columns(F.col("ts_ms"), grain)
-    names = (["source"] if "source" in rows.columns else []) + list(times.GRAINS[: len(columns)])
-    dealt = rows.select("*", *columns).hint("rebalance", *[F.col(n) for n in names]).sortWithinPartitions(*names, *order)
-    options = {"compression": "zstd", "parquet.compression.codec.zstd.level": str(level), "maxRecordsPerFile": str(max_rows)}
-    for name in ("mmsi", "station", "imo_number", "call_sign", "name"):
-        if name in rows.columns:
-            options[f"parquet.bloom.filter.enabled#{name}"] = "true"
-    dealt.write.mode("append").options(**options).partitionBy(*names).parquet(path)
+    return rows.select("*", *columns), (["source"] if "source" in rows.columns else []) + list(times.GRAINS[: len(columns)])
+
+
+def dealt(rows: DataFrame, names: list[str], order: tuple[str, ...]) -> DataFrame:
+    return rows.hint("rebalance", *[F.col(n) for n in names]).sortWithinPartitions(*names, *order)
+
+
+def zstd(level: int, max_rows: int = 0) -> dict[str, str]:
+    return {"compression": "zstd", "parquet.compression.codec.zstd.level": str(level), "maxRecordsPerFile": str(max_rows)}
+
+
+def blooms(rows: DataFrame, names: list[str]) -> dict[str, str]:
+    """Writer options for Bloom filters of the columns that searches name, but for partition columns."""
+    wanted = ("mmsi", "station", "source", "imo_number", "call_sign", "name")
+    return {f"parquet.bloom.filter.enabled#{name}": "true" for name in wanted if name in rows.columns and name not in names}
+
+
+def replace_partitions(rows: DataFrame, path: str, keys: list[str], order: tuple[str, ...], level: int = 5) -> None:
+    """Writes rows that have partition columns ``keys``; partitions that they are of are replaced as a whole, all others stay."""
+    write = dealt(rows, keys, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.options(**zstd(level), **blooms(rows, keys)).partitionBy(*keys).parquet(path)
+
+
+def write_bronze(rows: DataFrame, path: str, grain: str = "day", level: int = 5, max_rows: int = 0) -> None:
+    """Appends source, ts_ms, file, line and payload as ts (milliseconds), file, line and payload, sorted by time, file and line.
+
+    Times and payloads hardly repeat, so they are delta-encoded, without dictionaries; files repeat for long runs.
+    """
+    rows, names = in_partitions(rows, grain)
+    told = dealt(rows, names, ("ts_ms", "file", "line")).select(F.timestamp_millis("ts_ms").alias("ts"), "file", "line", "payload", *names)
+    plain = {f"parquet.enable.dictionary#{name}": "false" for name in ("ts", "line", "payload")}
+    key = "spark.sql.parquet.outputTimestampType"
+    before = rows.sparkSession.conf.get(key)
+    rows.sparkSession.conf.set(key, "TIMESTAMP_MILLIS")
+    try:
+        told.write.mode("append").options(**zstd(level, max_rows), **{"parquet.writer.version": "v2"}, **plain).partitionBy(*names).parquet(path)
+    finally:
+        rows.sparkSession.conf.set(key, before)
 
 
 #: All Parquet files but those whose names begin with "tmp-", which aren't finished.
@@ -128,6 +165,12 @@ def read_partitioned(spark: SparkSession, roots: list[str], grain: str = "day",
     return rows.where((only or PartitionFilter()).condition(grain))
 
 
-def dry_run(rows: DataFrame, keys: list[str]) -> DataFrame:
+def listing(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """path, mtime_ms, source and the partition of each file under the roots; no file is opened."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FINISHED)
+    return parse_paths(read.load(roots).select("path", F.unix_millis("modificationTime").alias("mtime_ms")))
+
+
+def dry_run(files: DataFrame, keys: list[str]) -> DataFrame:
     """Files of each partition that a run would read."""
-    return rows.select(*keys, F.col("_metadata.file_path").alias("file")).groupBy(*keys).agg(F.countDistinct("file").alias("files"))
+    return files.groupBy(*keys).agg(F.countDistinct("path").alias("files"))

@@ -91,8 +91,8 @@ def parse_paths(t: Tables) -> DataFrame:
 
 @query(f"select {DAY_SQL}, count(distinct event_type) as files from events group by all")
 def dry_run_plan(t: Tables) -> DataFrame:
-    rows = by_day(sightings(t))
-    return rows.groupBy("year", "month", "day").agg(F.countDistinct("event_type").alias("files"))
+    rows = by_day(sightings(t)).withColumn("path", F.concat_ws("/", "year", "month", "day", "event_type"))
+    return partitions.dry_run(rows, ["year", "month", "day"])
 
 
 @query(f"select case {KIND_SQL} when 'position' then 'positions' when 'aton' then 'atons' else {KIND_SQL} end as tab, count(*) as n from events where event_id % 10 < 8 group by all")

@@ -10,6 +10,8 @@ from __future__ import annotations
 import bz2
 import gzip
 import io
+import itertools
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -66,21 +68,35 @@ def entry_lines(content: bytes, kind: str) -> Iterator[tuple[str, int, str]]:
         return
 
 
+def listed(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """path, size and mtime_ms of all files under the roots, hidden ones left out; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+    return files.select("path", F.col("length").alias("size"), F.unix_millis("modificationTime").alias("mtime_ms"))
+
+
 def scan_any(spark: SparkSession, root: str) -> DataFrame:
-    """source, file, entry, line, arrival_ms and payload of all files under a root, hidden ones left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """The lines of ``framed`` under a root, but for empty ones and those over the limit."""
+    return within_limit(framed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)).where("payload != ''"))
+
+
+def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All lines of ``framed`` of the files at these very paths."""
+    return framed(spark.read.format("binaryFile").load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]))
+
+
+def framed(files: DataFrame) -> DataFrame:
+    """source, file, entry, line, arrival_ms and payload of all lines of binaryFile rows."""
 
     def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                lines = list(entry_lines(row.content, row.format))
-                for at in range(0, len(lines), 50_000):
-                    some = lines[at : at + 50_000]
+                lines = entry_lines(row.content, row.format)
+                while some := list(itertools.islice(lines, 50_000)):
                     yield pd.DataFrame({"file": row.path, "entry": [x[0] for x in some], "line": [x[1] for x in some], "arrival_ms": row.arrival_ms, "payload": [x[2] for x in some]})
 
     told = sniff(files).select("path", "format", "content", F.unix_millis("modificationTime").alias("arrival_ms"))
     lines = told.mapInPandas(frame, "file string, entry string, line long, arrival_ms long, payload string")
-    return within_limit(lines.withColumn("source", stem(F.col("file"))).where("payload != ''"))
+    return lines.withColumn("source", stem(F.col("file")))
 
 
 def message_lines(messages: DataFrame, limit: int = MAX_LINE_BYTES) -> DataFrame:
