@@ -7,6 +7,8 @@ decides, and distributed star joins form components. Of each component the docum
 doc_id keeps its first line; every other occurrence is removed. One pass over the texts writes what all
 later steps read: of each document the hashes of its lines, and of each new line of a batch its hash,
 bands and text. Only the last step takes the texts again, and joins them to the numbers of removed lines.
+In joins of texts or of all lines the other side has one small row a key, and tasks hold theirs as a
+hash table, so that texts and lines are shuffled but not sorted.
 
 Blank lines are never removed. Null texts stay null. Documents keep their rows even where no line is
 left (then the text is empty, or what blank lines leave). Rows with equal doc_ids count as one document,
@@ -127,10 +129,10 @@ def similar_parts(items: DataFrame, percent: int) -> DataFrame:
     pairs = materialize(pairs.union(more).distinct(), "line-pairs")
     # the texts of lines that met another, once for all comparisons
     met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowded.select("id")).distinct()
-    texts = materialize(items.select("id", "norm").join(materialize(met, "met-lines"), "id"), "met-texts")
+    texts = materialize(items.select("id", "norm").join(materialize(met, "met-lines").hint("shuffle_hash"), "id"), "met-texts")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        return texts.join(wanted, "id").select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
+        return texts.join(wanted.hint("shuffle_hash"), "id").select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
 
     links = materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
     return joined(components(links), crowded, fetch, line_sets, percent)
@@ -141,11 +143,11 @@ def removed_lines(told: DataFrame, parts: DataFrame) -> DataFrame:
     at = told.where("hashes is not null").select("id", "version", F.posexplode("hashes").alias("at", "hash")).where("hash != 0")
     members = parts.select(F.col("node").alias("hash"), "component").union(parts.select("component", "component").distinct())
     counted = at.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    grouped = counted.join(members, "hash", "left").where("n > 1 or component is not null")
+    grouped = counted.join(members.hint("shuffle_hash"), "hash", "left").where("n > 1 or component is not null")
     grouped = materialize(grouped.select("hash", F.coalesce("component", "hash").alias("component"), "first"), "grouped")
     keepers = grouped.groupBy("component").agg(F.min("first").alias("keep"))
     affected = materialize(grouped.join(keepers, "component").select("hash", "component", "keep"), "affected")
-    found = at.join(affected, "hash").groupBy("id", "version").agg(F.collect_set(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
+    found = at.join(affected.hint("shuffle_hash"), "hash").groupBy("id", "version").agg(F.collect_set(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
     return materialize(found, "found")
 
 
@@ -185,7 +187,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     version = F.xxhash64("text")
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), version)).withColumn(version_key, version)
-    marked = keyed.join(found.toDF(key, version_key, found_key), [key, version_key], "left")
+    marked = keyed.join(found.toDF(key, version_key, found_key).hint("shuffle_hash"), [key, version_key], "left")
     marked = marked.select(*names, F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"), found_key)
     schema = marked.select(*names, "n_lines", F.lit(0).cast("long").alias("n_removed")).schema
     left = marked.mapInArrow(run, schema)
