@@ -2,14 +2,17 @@
 
 A six-bit armored payload is base64 with another alphabet, so ``translate`` and ``unbase64`` unpack it
 inside generated code. Bits are held as a string of hexadecimal digits; a field is a few digits, shifted
-and masked. Digits past the end read as 0.
+and masked. Where a message has many fields, its digits are first turned into numbers of 48 bits, and fields
+are shifted and masked out of these. Digits past the end read as 0.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seamark.functions.settle import settled
+
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Armor characters 0 to w; those between W and ` stand for the values of Q to W, but for X, which stands for that of `.
 ARMOR = "".join(map(chr, range(48, 120)))
@@ -31,8 +34,28 @@ def bit_length(armor: Column, fill: Column) -> Column:
     return F.greatest(6 * F.length(armor) - fill, F.lit(0))
 
 
-def unsigned(digits: Column, offset: int, width: int) -> Column:
-    """Bits offset to offset + width as a bigint; width at most 48."""
+WORD = 48
+
+
+def with_words(df: DataFrame, length: int) -> DataFrame:
+    """Adds word0, word1, ...: the first ``length`` bits of the column digits, WORD bits each."""
+    return settled(df, **{f"word{k}": unsigned(F.col("digits"), k * WORD, WORD) for k in range(-(-length // WORD))})
+
+
+def in_words(offset: int, width: int) -> Column:
+    """Bits offset to offset + width of the columns of ``with_words``; width at most WORD."""
+    k, end = offset // WORD, offset % WORD + width
+    if end <= WORD:
+        value = F.shiftright(f"word{k}", WORD - end)
+    else:
+        value = F.shiftleft(f"word{k}", end - WORD).bitwiseOR(F.shiftright(f"word{k + 1}", 2 * WORD - end))
+    return value.bitwiseAND(F.lit((1 << width) - 1))
+
+
+def unsigned(digits: Column | None, offset: int, width: int) -> Column:
+    """Bits offset to offset + width as a bigint, width at most 48; here and below, digits are None where the row has words."""
+    if digits is None:
+        return in_words(offset, width)
     first, last = offset // 4, (offset + width - 1) // 4
     count = last - first + 1
     taken = F.rpad(F.substring(digits, first + 1, count), count, "0")
@@ -40,16 +63,16 @@ def unsigned(digits: Column, offset: int, width: int) -> Column:
     return F.shiftright(value, 4 * count - offset % 4 - width).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def signed(digits: Column, offset: int, width: int) -> Column:
+def signed(digits: Column | None, offset: int, width: int) -> Column:
     value = unsigned(digits, offset, width)
     return F.when(value >= 1 << (width - 1), value - (1 << width)).otherwise(value)
 
 
-def flag(digits: Column, offset: int) -> Column:
+def flag(digits: Column | None, offset: int) -> Column:
     return unsigned(digits, offset, 1) == 1
 
 
-def text(digits: Column, offset: int, characters: int) -> Column:
+def text(digits: Column | None, offset: int, characters: int) -> Column:
     """Six-bit text without the blanks and @ at its end; null if nothing is left."""
     parts = []
     for at in range(0, characters, 4):

@@ -49,14 +49,19 @@ def kind() -> Column:
 
 
 def read(places: list, name: str) -> Column:
-    """The field ``name`` at the place that the row's type has for it; null for other types."""
+    """The field ``name`` at the place that the row's type has for it; null for other types. Rows are those of ``with_fields``."""
     found = F.lit(None)
     for types, offset, width, how in places[name]:
-        value = {"": bits.unsigned, "s": bits.signed, "c": bits.text}[how](F.col("digits"), offset, width)
+        value = {"": bits.unsigned, "s": bits.signed, "c": bits.text}[how](None, offset, width)
         found = F.when(F.col("msg_type").isin(*types), value).otherwise(found)
     return found
 
 
+def with_fields(rows: DataFrame, places: dict[str, list]) -> DataFrame:
+    """Adds the words that hold all fields of ``places``."""
+    return bits.with_words(rows, max(offset + width * (6 if how == "c" else 1) for some in places.values() for _, offset, width, how in some))
+
+
 def degrees(raw: Column, limit: int, scale: float = 600000.0) -> Column:
     """Null for what isn't available, which is a degree over the limit, and for all else that lies beyond it."""
     return F.when(F.abs(raw) <= limit * scale, raw / scale)
@@ -64,19 +69,20 @@ def degrees(raw: Column, limit: int, scale: float = 600000.0) -> Column:
 
 def positions(parsed: DataFrame) -> DataFrame:
     place = layouts.by_type(layouts.POSITION)
-    get = lambda name: read(place, name)
+    get = lambda name: F.col(f"raw_{name}")
     t = F.col("msg_type")
     scale = F.when(t == 27, 600.0).otherwise(600000.0)
     long_range = t == 27
-    rows = parsed.where("kind = 'position'")
+    rows = with_fields(parsed.where("kind = 'position'"), place)
+    rows = settled(rows, **{f"raw_{name}": read(place, name) for name in place})
     latitude, longitude = (F.when(F.abs(get(n)) <= limit * scale, get(n) / scale) for n, limit in (("lat", 90), ("lon", 180)))
     sog = F.when(long_range, bits.null_if(get("sog"), 63).cast("double")).when(t == 9, bits.null_if(get("sog"), 1023).cast("double")).otherwise(bits.null_if(get("sog"), 1023) / 10.0)
     cog = F.when(long_range, bits.null_if(get("cog"), 511).cast("double")).otherwise(F.when(get("cog") < 3600, get("cog") / 10.0))
     shown = F.when(t == 9, UNDER_WAY).when(t == 4, "").when(t.isin(18, 19), labels.NAV_STATUS[15]).otherwise(labels.nav_status(get("nav")))
-    told = rows.select(
+    told = settled(rows, latitude=latitude, longitude=longitude).select(
         *key_columns(parsed),
         F.when(t == 4, "Base Station").when(t.isin(18, 19), "Class B").otherwise("Class A").alias("ais_class"),
-        latitude.alias("latitude"), longitude.alias("longitude"), sog.alias("sog_knots"), cog.alias("cog"),
+        "latitude", "longitude", sog.alias("sog_knots"), cog.alias("cog"),
         bits.null_if(get("heading"), 511).cast("double").alias("heading_true"),
         bits.null_if(get("rot"), -128).cast("double").alias("rot"),
         bits.null_if(get("altitude"), 4095).cast("double").alias("altitude_m"),
@@ -111,7 +117,7 @@ def statics(parsed: DataFrame, eta_year: int) -> DataFrame:
     auxiliary = part_b & F.startswith(F.col("mmsi").cast("string"), F.lit("98"))
     only_b = lambda c: F.when(~part_a, c)
     size = lambda name: F.when(~part_a & ~auxiliary, get(name)).cast("int").alias(f"dimension_to_{name}")
-    return parsed.where("kind = 'static'").select(
+    return with_fields(parsed.where("kind = 'static'"), place).select(
         *key_columns(parsed),
         F.when(F.col("msg_type") == 24, "Class B").otherwise("Class A").alias("ais_class"),
         bits.null_if(get("imo"), 0).alias("imo_number"), only_b(get("call_sign")).alias("call_sign"),
@@ -125,7 +131,7 @@ def statics(parsed: DataFrame, eta_year: int) -> DataFrame:
 
 def meteo_value(place: tuple) -> Column:
     offset, width, how, missing, added, divided = place
-    raw = (bits.signed if how == "s" else bits.unsigned)(F.col("digits"), offset, width)
+    raw = (bits.signed if how == "s" else bits.unsigned)(None, offset, width)
     if missing.startswith(">="):
         raw = F.when(raw < int(missing[2:]), raw)
     elif missing != "none":
@@ -134,18 +140,18 @@ def meteo_value(place: tuple) -> Column:
 
 
 def meteo(parsed: DataFrame) -> DataFrame:
-    rows = parsed.where("kind = 'meteo'")
     long, short = layouts.meteo(31), layouts.meteo(11)
-    columns = []
+    rows = bits.with_words(parsed.where("kind = 'meteo'"), max(p[0] + p[1] for p in (*long.values(), *short.values()) if p))
+    columns, place = [], {}
     for name in long:
         limit = {"longitude": 180, "latitude": 90}.get(name)
         value = F.when(F.col("fid") == 31, meteo_value(long[name]))
         if short[name]:
             value = value.otherwise(meteo_value(short[name]))
         if limit:
-            value = F.when(F.abs(value) <= limit, value)
+            place[name], value = F.when(F.abs(value) <= limit, value), F.col(name)
         columns.append((value == 1 if name in layouts.FLAGS else value).alias(name))
-    told = rows.select(*key_columns(parsed), "dac", "fid", *columns, "station", "payload")
+    told = settled(rows, **place).select(*key_columns(parsed), "dac", "fid", *columns, "station", "payload")
     return told.withColumn("hilbert", spatial.hilbert(F.col("latitude"), F.col("longitude")))
 
 
@@ -157,9 +163,10 @@ def binary(parsed: DataFrame) -> DataFrame:
 def atons(parsed: DataFrame) -> DataFrame:
     place = layouts.by_type(layouts.ATON)
     get = lambda name: read(place, name)
-    told = parsed.where("kind = 'aton'").select(
+    rows = settled(with_fields(parsed.where("kind = 'aton'"), place), latitude=degrees(get("lat"), 90), longitude=degrees(get("lon"), 180))
+    told = rows.select(
         *key_columns(parsed), F.lit("AtoN").alias("ais_class"), labels.navaid_type(get("aid_type")).alias("aid_type"), get("name").alias("name"),
-        F.lit(None).cast("string").alias("name_extension"), degrees(get("lat"), 90).alias("latitude"), degrees(get("lon"), 180).alias("longitude"),
+        F.lit(None).cast("string").alias("name_extension"), "latitude", "longitude",
         *[get(n).cast("int").alias(f"dimension_to_{n}") for n in ("bow", "stern", "port", "starboard")],
         (get("off_position") == 1).alias("off_position"), (get("virtual") == 1).alias("virtual_aid"), (get("assigned") == 1).alias("assigned_mode"),
         F.lit(False).alias("high_accuracy"), (get("raim") == 1).alias("raim"), "station", "payload",
