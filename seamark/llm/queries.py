@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import embeddings, langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files, urls
+from seamark.llm import embeddings, infilling, langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,3 +58,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least=0.9)
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its cuts, the hash of its output, and that of the text restored from the output."""
+    cut = infilling.fill_in_middle(storage.documents(spark, sf_dir))
+    text = infilling.restored(F.col("output"), F.col("form"))
+    units = [F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars")]
+    return cut.select("doc_id", "n", "form", *units, F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
