@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import embeddings, infilling, langid, licenses, line_dedup, mixing, near_dups, packing, quality, storage, token_files, urls
+from seamark.llm import embeddings, infilling, langid, licenses, line_dedup, mixing, near_dups, packing, prefix_trie, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,3 +66,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = infilling.restored(F.col("output"), F.col("form"))
     units = [F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars")]
     return cut.select("doc_id", "n", "form", *units, F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
