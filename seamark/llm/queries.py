@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.llm import embeddings, infilling, langid, licenses, line_dedup, mixing, near_dups, packing, prefix_trie, quality, storage, token_files, urls
+from seamark.llm import embeddings, infilling, langid, licenses, line_dedup, lm_scoring, mixing, near_dups, packing, prefix_trie, quality, storage, token_files, urls
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,3 +71,7 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.turns_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(storage.documents(spark, sf_dir), lm_scoring.held_out(F.col("doc_id")))
