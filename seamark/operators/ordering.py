@@ -5,11 +5,20 @@ Lines need source, line (their order in it), arrival_ms and payload.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from seamark.functions import sentences
 from seamark.functions.settle import settled
+from seamark.operators import slots
+
+#: What the rule of ``slots`` reads of a fragment.
+FRAGMENT = ("line", "ts_ms", "tags", "start", "channel", "count", "number", "armor", "fill", "text")
 
 
 def resolve_timestamps(lines: DataFrame) -> DataFrame:
@@ -56,54 +65,73 @@ def places(rows: DataFrame, bucket: Column, *order: str) -> DataFrame:
 
 
 def fragments(lines: DataFrame) -> DataFrame:
-    """Adds group, count, number, armor and fill of fragmented lines; group is null for all others."""
+    """Adds group, count, number, armor, fill, start, channel and tags of fragmented lines; group is null for all others."""
     text = sentences.sentence(F.col("payload"))
     cut, text = settled(lines, text=text), F.col("text")
-    return settled(
-        cut, group=sentences.fragment_group(text), count=sentences.fragment_count(text), number=sentences.fragment_number(text),
-        armor=F.get(F.split(text, ","), F.lit(5)), fill=sentences.field(text, 6), start=sentences.field(text, 0), channel=sentences.field(text, 4),
+    before = sentences.prefix(F.col("payload"))
+    station = sentences.tag_field(F.regexp_replace(before, r"\\", ""), "s")
+    seconds = sentences.tag_seconds_ms(before)
+    found = settled(
+        cut, group=sentences.fragment_group(text), count=sentences.fragment_count(text), number=F.coalesce(sentences.fragment_number(text), F.lit(1)),
+        armor=F.get(F.split(text, ","), F.lit(5)), fill=sentences.field(text, 6), start=sentences.field(text, 0), channel=sentences.field(text, 4), seconds=seconds, station=station,
     )
+    told = F.concat_ws(",", F.when(F.col("seconds").isNotNull(), F.concat(F.lit("c:"), F.expr("seconds div 1000"))), F.when(F.col("station").isNotNull(), F.concat(F.lit("s:"), "station")))
+    return found.withColumn("tags", told).drop("seconds", "station")
 
 
-def occurrences(found: DataFrame, session: tuple[str, ...] = ("source",)) -> DataFrame:
-    """Numbers the messages that share a group, since sequence ids come again: a fragment number that was
-    already seen since the last message began, or that follows a complete message, begins another."""
-    order = Window.partitionBy(*session, "group").orderBy("line")
-    again = F.coalesce(F.col("number") <= F.lag("number").over(order), F.lit(True))
-    return found.withColumn("message", F.sum(F.when(again, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+def stretches(found: DataFrame, keys: list[str], timeout_ms: int) -> DataFrame:
+    """Numbers the stretches of each group: a fragment whose time lies over ``timeout_ms`` after all before it meets no open message."""
+    order = Window.partitionBy(*keys).orderBy("line")
+    latest = F.max("ts_ms").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cut = found.withColumn("__cut", F.coalesce(F.col("ts_ms") - latest > timeout_ms, F.lit(False)).cast("int"))
+    return cut.withColumn("stretch", F.sum("__cut").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("__cut")
 
 
-def rebuilt(start: Column, channel: Column, armor: Column, fill: Column, tags: Column) -> Column:
-    """A whole sentence with its checksum, and before it a tag block with its own if there are tags."""
-    body = F.concat(F.regexp_replace(start, "^[!$]", ""), F.lit(",1,1,,"), channel, F.lit(","), armor, F.lit(","), fill)
-    whole = F.concat(F.substring(start, 1, 1), body, F.lit("*"), sentences.checksum(body))
-    return F.when(tags == "", whole).otherwise(F.concat(F.lit("\\"), tags, F.lit("*"), sentences.checksum(tags), F.lit("\\"), whole))
+def sealed(body: Column, tags: Column, raw: Column) -> Column:
+    """A joined sentence with its checksum, and before it a tag block with its own if there are tags; or a fragment as it is."""
+    whole = sentences.closed(body, "!")
+    tagged = F.when(tags == "", whole).otherwise(F.concat(F.lit("\\"), tags, F.lit("*"), sentences.checksum(tags), F.lit("\\"), whole))
+    return F.when(body.isNull(), raw).otherwise(tagged)
 
 
-def reassemble(lines: DataFrame, session: tuple[str, ...] = ("source",)) -> DataFrame:
-    """The columns of ``session``, line (of the first fragment), ts_ms, payload and complete.
+def reassemble(lines: DataFrame, session: tuple[str, ...] = ("source",), timeout_ms: int = slots.TIMEOUT_MS) -> DataFrame:
+    """The columns of ``session``, line (of the first fragment to come), ts_ms, payload and complete.
 
-    Fragments of one message have equal columns ``session``, in which lines are in the order of line.
-    Lines with source, line, ts_ms and payload; whole lines pass as they are. The fragments of a message that
-    all came are one sentence with the first one's time and tags; others pass one by one without tags. Messages
-    are bounded by their number of fragments, so no group grows.
+    Lines with source, line, ts_ms and payload; whole lines pass as they are. Fragments of one message have equal
+    columns ``session``, in which lines are in the order of line, and go into slots by the rule of ``slots``. A message
+    whose fragments all came is one sentence with the time and tags of the first to come; others pass fragment by fragment.
+    A task reads its groups in order and holds one open message, so no group is gathered, however long.
     """
     found = fragments(lines)
     whole = found.where("group is null").select(*session, "line", "ts_ms", "payload", F.lit(True).alias("complete"))
-    numbered = occurrences(found.where("group is not null"), session)
-    before = sentences.prefix(F.col("payload"))
-    tag = lambda key: sentences.tag_field(F.regexp_replace(before, r"\\", ""), key)
-    seconds = sentences.tag_seconds_ms(before)
-    tags = F.concat_ws(",", F.when(seconds.isNotNull(), F.concat(F.lit("c:"), F.expr("{} div 1000".format("seconds")))), F.when(F.col("station").isNotNull(), F.concat(F.lit("s:"), "station")))
-    tagged = numbered.withColumn("seconds", seconds).withColumn("station", tag("s")).withColumn("tags", tags)
-    part = F.struct("number", "armor", "fill", "line", "text")
-    messages = tagged.groupBy(*session, "group", "message").agg(
-        F.array_sort(F.collect_list(part)).alias("parts"), F.max("count").alias("count"), F.countDistinct("number").alias("received"),
-        F.min_by(F.struct("ts_ms", "tags", "start", "channel", "line"), "line").alias("first"),
-    )
-    complete = messages.where("received = count")
-    joined = rebuilt(F.col("first.start"), F.col("first.channel"), F.array_join("parts.armor", ""), F.element_at("parts.fill", -1), F.col("first.tags"))
-    put = complete.select(*session, F.col("first.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), joined.alias("payload"), F.lit(True).alias("complete"))
-    left = messages.where("received < count").select(*session, "first", F.explode("parts").alias("part"))
-    rest = left.select(*session, F.col("part.line").alias("line"), F.col("first.ts_ms").alias("ts_ms"), F.col("part.text").alias("payload"), F.lit(False).alias("complete"))
-    return whole.unionByName(put).unionByName(rest)
+    keys = [*session, "group"]
+    parts = stretches(found.where("group is not null"), keys, timeout_ms).select(*keys, "stretch", *FRAGMENT)
+    dealt = parts.repartition(*keys, "stretch").sortWithinPartitions(*keys, "stretch", "line")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, None
+        for batch in batches:
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                key = tuple(row[k] for k in (*keys, "stretch"))
+                if key != now:
+                    out += [(*now[: len(session)], *x) for x in held.given_up()] if held else []
+                    now, held = key, None
+                held, some = slots.take(held, row, timeout_ms)
+                out += [(*key[: len(session)], *x) for x in some]
+            yield arrow_rows(out)
+        if held:
+            yield arrow_rows([(*now[: len(session)], *x) for x in held.given_up()])
+
+    schema = T.StructType([*(parts.schema[k] for k in session), *(T.StructField(n, T.LongType() if n in ("line", "ts_ms") else T.StringType()) for n in slots.OUT)])
+
+    def arrow_rows(rows: list[tuple]) -> pa.RecordBatch:
+        names = [*session, *slots.OUT]
+        kinds = [arrow_types[n] for n in names]
+        columns = zip(*rows, strict=True) if rows else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds, strict=True)], names=names)
+
+    arrow_types = {f.name: f.type for f in to_arrow_schema(schema)}
+    put = dealt.mapInArrow(fold, schema)
+    told = put.select(*session, "line", "ts_ms", sealed(F.col("body"), F.col("tags"), F.col("raw")).alias("payload"), F.col("body").isNotNull().alias("complete"))
+    return whole.unionByName(told)

@@ -34,6 +34,19 @@ def reassemble(t: Tables) -> DataFrame:
     return told.join(t.conversations.groupBy("conv_id").agg(F.count("*").alias("n")).where("n > 1").select("conv_id"), "conv_id")
 
 
+@query(f"{WHOLE_SQL} select conv_id, (conv_id + 1) * 1000 as ts_ms, armor from m where n > 1")
+def reassemble_shuffled(t: Tables) -> DataFrame:
+    """Every fragment comes twice, and those of a message in an order that has nothing to do with their numbers."""
+    twice = fragments(t).withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+    mixed = F.expr("line div 1000 * 1000000") + F.pmod(F.xxhash64("line", "again"), F.lit(100_000)) * 10 + c("again")
+    whole = ordering.reassemble(twice.select("source", mixed.alias("line"), "ts_ms", "payload")).where("complete and payload like '%AIVDM,1,1,,B%'")
+    armor = F.get(F.split(sentences.sentence(c("payload")), ","), F.lit(5))
+    told = whole.select(F.expr("line div 1000000").alias("conv_id"), "ts_ms", armor.alias("armor"))
+    told = told.join(t.conversations.groupBy("conv_id").agg(F.count("*").alias("n")).where("n > 1").select("conv_id"), "conv_id")
+    # what comes after a message is whole may make it whole again
+    return told.distinct()
+
+
 @query(f"{WHOLE_SQL} select conv_id, 'c:' || (conv_id + 1) || ',s:C' || conv_id as tags from m where n > 1")
 def rebuild_tag(t: Tables) -> DataFrame:
     whole = ordering.reassemble(fragments(t)).where("complete and payload like '%AIVDM,1,1,,B%' and payload like '%c:%,s:%'")

@@ -9,71 +9,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from seamark.functions import sentences
-from seamark.operators import decode, dedup, ordering, partitions
+from seamark.operators import decode, dedup, ordering, partitions, slots
 
-STATE = "first_ts long, tags string, start string, channel string, expected int, numbers array<int>, armors array<string>, last_fill string, first_line long, payloads array<string>"
-OUT = "source string, line long, ts_ms long, body string, tags string, complete boolean, raw string"
+PART = "struct<number:int,armor:string,fill:string,text:string,line:bigint>"
+STATE = f"line long, ts_ms long, tags string, start string, channel string, count int, parts array<{PART}>"
+OUT = "source string, line long, ts_ms long, body string, tags string, raw string"
 
 
-def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = 600_000) -> DataFrame:
-    """source, line, ts_ms and payload of whole messages; fragments whose message isn't whole in time, or that another one
-    with their sequence id cuts short, are their original lines with complete = false.
-
-    Time is that of the lines: a message waits until the watermark, which lies ``late`` behind the latest line, has passed
-    its first line by ``timeout_ms``. Whole lines are never late.
-    """
+def fragment_stream(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Whole lines as they are, and fragments with the columns that the rule of ``slots`` reads, and their time as ts."""
     found = ordering.fragments(lines)
-    before = sentences.prefix(F.col("payload"))
-    station = sentences.tag_field(F.regexp_replace(before, r"\\", ""), "s")
-    seconds = sentences.tag_seconds_ms(before) / 1000
-    tags = F.concat_ws(",", F.when(seconds.isNotNull(), F.concat(F.lit("c:"), seconds.cast("long").cast("string"))), F.when(station.isNotNull(), F.concat(F.lit("s:"), station)))
     whole = found.where("group is null").select("source", "line", "ts_ms", "payload", F.lit(True).alias("complete"))
-    parts = found.where("group is not null").withColumn("tags", tags)
+    return whole, found.where("group is not null").select("source", "group", *ordering.FRAGMENT, F.timestamp_millis("ts_ms").alias("ts"))
+
+
+def told(put: DataFrame) -> DataFrame:
+    payload = ordering.sealed(F.col("body"), F.col("tags"), F.col("raw"))
+    return put.select("source", "line", "ts_ms", payload.alias("payload"), F.col("body").isNotNull().alias("complete"))
+
+
+def frame(source: str, rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame([(source, *row) for row in rows], columns=["source", *slots.OUT])
+
+
+def fragment_rows(batch: pd.DataFrame) -> list[dict]:
+    """The rows in the order of their lines, with nulls as None."""
+    batch = batch.sort_values("line")
+    return batch.astype(object).where(batch.notna(), None).to_dict("records")
+
+
+def packed(held: slots.Open) -> tuple:
+    return held.line, held.ts_ms, held.tags, held.start, held.channel, held.count, [(n, *part) for n, part in held.parts.items()]
+
+
+def unpacked(state: tuple) -> slots.Open:
+    return slots.Open(*state[:6], {n: tuple(part) for n, *part in state[6]})
+
+
+def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = slots.TIMEOUT_MS) -> DataFrame:
+    """source, line, ts_ms, payload and complete, as ``ordering.reassemble`` gives them for the same lines.
+
+    Time is that of the lines: a message is given up when the watermark, which lies ``late`` behind the latest line, has
+    passed its time by ``timeout_ms``, or when a fragment so late comes for it. Whole lines are never late.
+    """
+    whole, parts = fragment_stream(lines)
 
     def gather(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        names = ["source", "line", "ts_ms", "body", "tags", "complete", "raw"]
-        given_up = lambda held: [(key[0], held[8], held[0], "", held[1], False, line) for line in held[9]]
+        held = unpacked(state.get) if state.exists else None
         if state.hasTimedOut:
-            out = given_up(state.get)
             state.remove()
-            yield pd.DataFrame(out, columns=names)
+            yield frame(key[0], held.given_up())
             return
-        held = [list(x) if isinstance(x, (list, tuple)) else x for x in state.get] if state.exists else None
         out = []
         for batch in batches:
-            for row in batch.sort_values("line").to_dict("records"):
-                if not 1 <= row["number"] <= row["count"]:
-                    continue
-                if held is not None and row["number"] in held[5]:
-                    # a number that comes again begins another message, as it does in a batch
-                    out += given_up(held)
-                    held = None
-                if held is None:
-                    held = [row["ts_ms"], row["tags"], row["start"], row["channel"], row["count"], [], [], "0", row["line"], []]
-                held[5].append(int(row["number"]))
-                held[6].append(row["armor"])
-                held[9].append(row["payload"])
-                if row["number"] == held[4]:
-                    held[7] = row["fill"]
-                if len(held[5]) >= held[4]:
-                    armor = "".join(a for _, a in sorted(zip(held[5], held[6], strict=True)))
-                    out.append((key[0], held[8], held[0], f"{held[2].lstrip('!$')},1,1,,{held[3]},{armor},{held[7]}", held[1], True, ""))
-                    held = None
-        if held is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update(tuple(held))
-            state.setTimeoutTimestamp(max(held[0], state.getCurrentWatermarkMs()) + timeout_ms)
-        yield pd.DataFrame(out, columns=names)
-
-    columns = parts.select("source", "group", "line", "ts_ms", "tags", "start", "channel", F.col("count").cast("int").alias("count"), F.col("number").cast("int").alias("number"), "armor", "fill", "payload", F.timestamp_millis("ts_ms").alias("ts"))
-    put = columns.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(gather, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    sealed = sentences.closed(F.col("body"), "!")
-    tagged = F.when(F.col("tags") == "", sealed).otherwise(F.concat(F.lit("\\"), "tags", F.lit("*"), sentences.checksum(F.col("tags")), F.lit("\\"), sealed))
-    joined = put.select("source", "line", "ts_ms", F.when(F.col("complete"), tagged).otherwise(F.col("raw")).alias("payload"), "complete")
-    return whole.unionByName(joined)
+            for row in fragment_rows(batch):
+                held, some = slots.take(held, row, timeout_ms)
+                out += some
+        if held is not None:
+            state.update(packed(held))
+            state.setTimeoutTimestamp(max(held.ts_ms, state.getCurrentWatermarkMs()) + timeout_ms)
+        elif state.exists:
+            state.remove()
+        yield frame(key[0], out)
+
+    put = parts.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(gather, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return whole.unionByName(told(put))
 
 
 def write_tables(batch: DataFrame, root: str, eta_year: int, grain: str = "day") -> None:
