@@ -35,6 +35,8 @@ SAMPLE, SAMPLE_BYTES = 1024, 16 << 20
 #: Far over the rounding of distances of unit vectors; closer bounds decide nothing.
 SLACK = 1e-6
 LARGEST_TILE, SMALLEST_TILE, LEAST_GROUPS = 8192, 512, 12
+#: Pairs of nodes with fewer pairs of classes are compared in a tile, since counting them at once would keep their leaves out of tiles with others.
+WORTH = 1 << 16
 
 
 @dataclass
@@ -83,8 +85,12 @@ def descend(root: Node, points: np.ndarray) -> list[tuple[np.ndarray, np.ndarray
     return steps
 
 
-def traverse(nodes: list[Node], radii: np.ndarray, reach: float, at_once: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of leaves to compare, and pairs of nodes whose points are all within ``reach``; a node without points has a radius of -1."""
+def traverse(nodes: list[Node], radii: np.ndarray, reach: float, classes: np.ndarray | None = None, at_once: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves to compare, and pairs of nodes whose points are all within ``reach``; a node without points has a radius of -1.
+
+    With the number of classes below each node, only pairs of nodes with ``WORTH`` pairs of them are of the second kind, and
+    a node of one class doesn't meet itself.
+    """
     centres = np.stack([n.centre for n in nodes])
     inner = np.array([bool(n.children) for n in nodes])
     below = [np.array([c.number for c in n.children if radii[c.number] >= 0], np.int64) for n in nodes]
@@ -96,8 +102,12 @@ def traverse(nodes: list[Node], radii: np.ndarray, reach: float, at_once: int =
         apart = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", centres[a], centres[b])))
         cover = radii[a] + radii[b]
         sure = apart + cover < reach - SLACK
+        single = np.zeros(len(a), bool)
+        if classes is not None:
+            sure &= classes[a] * classes[b] >= WORTH
+            single = (a == b) & (classes[a] == 1)
         linked.append(pairs[sure])
-        open_ = ~sure & ((a == b) | (apart - cover <= reach + SLACK))
+        open_ = ~sure & ~single & ((a == b) | (apart - cover <= reach + SLACK))
         ends = ~inner[a] & ~inner[b]
         compare.append(pairs[open_ & ends])
         split: list[np.ndarray] = []
@@ -135,9 +145,12 @@ def unit_rows(vectors: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, units = [], []
-            for value in batch.column("embedding").to_pylist():
-                v = None if value is None or None in value else np.array(value, np.float64)
-                norm = 0.0 if v is None or not len(v) else float(np.sqrt((v * v).sum()))
+            column = batch.column("embedding")
+            ends = column.offsets.to_numpy().tolist()
+            values = column.values.cast(pa.float64()).to_numpy(zero_copy_only=False)  # nulls are NaN
+            for begin, end, there in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True):
+                v = values[begin:end] if there else values[:0]
+                norm = float(np.sqrt((v * v).sum()))
                 if norm > 0 and np.isfinite(norm):
                     keys.append(hashlib.md5(v.tobytes(), usedforsecurity=False).digest())
                     units.append((v / norm).tobytes())
@@ -192,6 +205,14 @@ def leaves_below(nodes: list[Node], some: set[int]) -> set[int]:
     return found
 
 
+def meetings(nodes: list[Node], compared: np.ndarray, linked: np.ndarray, counts: dict[int, int], size: int) -> tuple[dict[int, int], list[int], list[tuple[int, int]]]:
+    """The bundle of each leaf, the number of parts of each bundle, and the pairs of bundles that meet."""
+    # a leaf below a node that is in a counted pair must not share a tile with others, which could count that pair again
+    alone = {k for k in counts if k < 0} | leaves_below(nodes, set(linked.ravel().tolist()))
+    of, cuts = bundle(sorted(counts), counts, alone, size)
+    return of, cuts, sorted({(min(of[a], of[b]), max(of[a], of[b])) for a, b in compared.tolist()} | {(of[k], of[k]) for k in counts if k < 0})
+
+
 def roots_of(linked: np.ndarray, least_id: np.ndarray) -> dict[int, int]:
     """For each node in a counted pair, the smallest id below all nodes that such pairs connect it with."""
     root = {k: int(least_id[k]) for k in linked.ravel().tolist()}
@@ -238,19 +259,14 @@ def near_vectors(vectors: DataFrame, least: float = 0.9) -> DataFrame:
 
     settled = materialize(leads.mapInArrow(place_rows, "id long, n long, unit binary, leaf long, path array<long>, away array<double>"), "settled")
     ways = settled.select("id", "n", F.explode(F.arrays_zip("path", "away")).alias("of")).groupBy("of.path")
-    seen = ways.agg(F.max("of.away").alias("radius"), F.sum("n").alias("n"), F.min("id").alias("least")).collect()  # one row per node of the sampled tree
-    radii, least_id, weight = np.full(len(nodes), -1.0), np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+    seen = ways.agg(F.max("of.away").alias("radius"), F.sum("n").alias("n"), F.count("*").alias("classes"), F.min("id").alias("least")).collect()  # one row per node of the sampled tree
+    radii, (least_id, weight, classes_below) = np.full(len(nodes), -1.0), np.zeros((3, len(nodes)), np.int64)
     for r in seen:
-        radii[r["path"]], least_id[r["path"]], weight[r["path"]] = r["radius"], r["least"], r["n"]
+        radii[r["path"]], least_id[r["path"]], weight[r["path"]], classes_below[r["path"]] = r["radius"], r["least"], r["n"], r["classes"]
     counts = {r["leaf"]: r["count"] for r in settled.groupBy("leaf").count().collect()}  # one row per leaf
-    compared, linked = traverse(nodes, radii, reach)
-
+    compared, linked = traverse(nodes, radii, reach, classes_below)
     size = min(LARGEST_TILE, max(SMALLEST_TILE, total // LEAST_GROUPS))
-    leaves = sorted(counts)
-    # a leaf below a node that is in a counted pair must not share a tile with others, which could count that pair again
-    alone = {k for k in leaves if k < 0} | leaves_below(nodes, set(linked.ravel().tolist()))
-    of, cuts = bundle(leaves, counts, alone, size)
-    pairs = sorted({(min(of[a], of[b]), max(of[a], of[b])) for a, b in compared.tolist()} | {(of[k], of[k]) for k in counts if k < 0})
+    of, cuts, pairs = meetings(nodes, compared, linked, counts, size)
     sides = [(a, b, cuts[a], cuts[b], a, 0) for a, b in pairs] + [(a, b, cuts[a], cuts[b], b, 1) for a, b in pairs]
     spark = vectors.sparkSession
     # of the size of the sampled tree: one row per leaf, and two per pair of bundles of leaves

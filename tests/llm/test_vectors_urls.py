@@ -100,6 +100,28 @@ def test_vectors_of_a_tight_cluster(spark):
     assert got == {i: (int(m.sum()), want[i]) for i, m in zip(ids, mask, strict=True)}
 
 
+def test_tiles_of_vectors_without_structure_are_few():
+    """Leaves of one class share bundles; pairs of small nodes don't take their leaves out of them."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(2000, 64))
+    points = np.concatenate([points, points[:900] + 0.01 * rng.normal(size=(900, 64))])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    reach = float(np.sqrt(0.2))
+    nodes = embeddings.lay_out(points[: embeddings.SAMPLE], reach / 2)
+    leaf, radii = settle(points, nodes)
+    classes = np.zeros(len(nodes), np.int64)
+    for _, numbers, distances in embeddings.descend(nodes[0], points):
+        classes[numbers[0]] += len(distances)
+    compared, linked = embeddings.traverse(nodes, radii, reach, classes)
+    assert not len(linked) and all(classes[a] > 1 for a, b in compared.tolist() if a == b)
+    counts = dict(zip(*(x.tolist() for x in np.unique(leaf, return_counts=True)), strict=True))
+    of, cuts, pairs = embeddings.meetings(nodes, compared, linked, counts, embeddings.SMALLEST_TILE)
+    assert len(set(of.values())) <= 8 and sum(cuts[a] * cuts[b] for a, b in pairs) <= 40
+    near, bundles = points @ points.T >= 0.9, np.array([of[k] for k in leaf.tolist()])
+    met = set(pairs)
+    assert all((min(bundles[a], bundles[b]), max(bundles[a], bundles[b])) in met for a, b in np.argwhere(near) if a != b)
+
+
 def test_vectors_of_an_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
