@@ -40,6 +40,8 @@ FREQUENT = 1 << 18
 #: Steps of the histogram of counts, an eighth of a power of two.
 STEPS = 8
 WIDTH, NOISE, MINIBATCH, ROUNDS, RATE = 32, 32, 2048, 3, 0.1
+#: Where each class's vector stands among all their components.
+PLACES = np.arange((CLASSES + 1) * WIDTH).reshape(CLASSES + 1, WIDTH)
 #: Tokens handled at once in a task.
 SLICE = 1 << 20
 #: Parameters are summed as integers of this scale, so that their mean doesn't depend on the order; so many tokens weigh one.
@@ -218,36 +220,40 @@ def new_model(noise: np.ndarray, seed: int = 12) -> Model:
 
 def summed_rows(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Sums of the rows that have the same number, by number."""
-    out = np.zeros((size, *rows.shape[1:]), np.float32)
-    order = np.argsort(at, kind="stable")
-    kinds, begins = np.unique(at[order], return_index=True)
-    out[kinds] = np.add.reduceat(rows[order], begins, axis=0)
-    return out
+    places = PLACES.take(at, axis=0)
+    return np.bincount(places.ravel(), rows.ravel(), size * WIDTH).reshape(size, WIDTH).astype(np.float32)
 
 
 def train(model: Model, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, rng: np.random.Generator) -> None:
-    """One pass of noise-contrastive estimation over the tokens, in random order; a minibatch shares its noise."""
+    """One pass of noise-contrastive estimation over the tokens, in random order; a minibatch shares its noise.
+
+    Matrices meet the classes' vectors, of which there are fewer than tokens; so slopes are summed by class before they meet matrices.
+    """
     vectors, matrices, target_vectors, biases = model.parts
     upto, log_noise = np.cumsum(noise), np.log(NOISE * noise).astype(np.float32)
     order = rng.permutation(len(targets))
+    contexts, targets = contexts[order].astype(np.int64), targets[order].astype(np.int64)
     for low in range(0, len(order), MINIBATCH):
-        some = order[low : low + MINIBATCH]
-        before, true = contexts[some], targets[some]
+        before, true = contexts[low : low + MINIBATCH], targets[low : low + MINIBATCH]
         false = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], "right"), CLASSES - 1)
-        inputs = [vectors[before[:, j]] for j in range(CONTEXT)]
-        guess = sum(x @ matrices[j] for j, x in enumerate(inputs))
-        good = np.einsum("ij,ij->i", guess, target_vectors[true]) + biases[true] - log_noise[true]
-        bad = guess @ target_vectors[false].T + (biases[false] - log_noise[false])
+        seen = vectors @ matrices
+        guess = sum(seen[j].take(before[:, j], axis=0) for j in range(CONTEXT))
+        true_vectors, false_vectors = target_vectors.take(true, axis=0), target_vectors.take(false, axis=0)
+        good = np.einsum("ij,ij->i", guess, true_vectors) + (biases - log_noise).take(true)
+        bad = guess @ false_vectors.T + (biases - log_noise).take(false)
         # slopes of -log sigmoid(good) - sum log(1 - sigmoid(bad)), as a mean over the tokens
-        to_good = -1 / (1 + np.exp(np.clip(good, -30, 30))) / len(some)
-        to_bad = 1 / (1 + np.exp(np.clip(-bad, -30, 30))) / len(some)
-        to_guess = to_good[:, None] * target_vectors[true] + to_bad @ target_vectors[false]
+        share = np.float32(1 / len(true))
+        with np.errstate(over="ignore"):
+            to_good = -share / (1 + np.exp(good))
+            to_bad = share / (1 + np.exp(-bad))
+        to_guess = to_bad @ false_vectors
+        to_guess += to_good[:, None] * true_vectors
         to_targets = summed_rows(true, to_good[:, None] * guess, CLASSES)
         np.add.at(to_targets, false, to_bad.T @ guess)
         to_biases = np.bincount(true, to_good, CLASSES) + np.bincount(false, to_bad.sum(axis=0), CLASSES)
-        to_matrices = np.stack([x.T @ to_guess for x in inputs])
-        to_vectors = sum(summed_rows(before[:, j], to_guess @ matrices[j].T, CLASSES + 1) for j in range(CONTEXT))
-        for p, s, slope in zip(model.parts, model.squares, (to_vectors, to_matrices, to_targets, to_biases.astype(np.float32)), strict=True):
+        by_class = np.stack([summed_rows(before[:, j], to_guess, CLASSES + 1) for j in range(CONTEXT)])
+        slopes = ((by_class @ matrices.transpose(0, 2, 1)).sum(axis=0), vectors.T @ by_class, to_targets, to_biases.astype(np.float32))
+        for p, s, slope in zip(model.parts, model.squares, slopes, strict=True):
             s += slope * slope
             p -= RATE * slope / np.sqrt(s)
 
