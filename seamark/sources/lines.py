@@ -1,28 +1,14 @@
 """Line sources: directories of plain and compressed text, message queues and sockets.
 
-Files are told by their first bytes, whatever their names. Plain, gzip and bzip2 files are decompressed and
-framed in Spark tasks from ``binaryFile`` rows where their names don't let Spark's text reader do it; zip
-archives give one row per entry's line.
+Spark's text reader serves files whose names tell their compression, ``line_files`` all others, archives among them.
 """
 
 from __future__ import annotations
 
-import bz2
-import gzip
-import io
-import itertools
-import re
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_LINE_BYTES = 65536
-#: First bytes of each format.
-MAGIC = {"zip": "504B", "gzip": "1F8B", "bzip2": "425A68"}
-TAR_NAMES = r"\.(tar|tgz|tbz2?|tar\.(gz|bz2|xz|zst))$"
+from seamark.sources.line_files import MAX_LINE_BYTES, LineFiles
 
 
 def stem(path: Column) -> Column:
@@ -41,33 +27,6 @@ def scan_text(spark: SparkSession, root: str) -> DataFrame:
     return within_limit(told.withColumn("source", stem(F.col("file"))).where("payload != ''"))
 
 
-def sniff(files: DataFrame) -> DataFrame:
-    """Adds format to binaryFile rows; a plain file named like a tar archive is rejected."""
-    head = F.hex(F.substring("content", 1, 3))
-    found = F.lit("plain")
-    for name, magic in MAGIC.items():
-        found = F.when(F.startswith(head, F.lit(magic)), name).otherwise(found)
-    named = F.rlike(F.lower("path"), F.lit(TAR_NAMES))
-    return files.withColumn("format", found).where(~((F.col("format") == "plain") & named))
-
-
-def entry_lines(content: bytes, kind: str) -> Iterator[tuple[str, int, str]]:
-    """(entry, line number, line) of one file; what can't be decompressed gives nothing more."""
-    try:
-        if kind == "zip":
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for info in archive.infolist():
-                    if not info.is_dir() and not info.filename.rpartition("/")[2].startswith("."):
-                        with archive.open(info) as stream:
-                            yield from ((info.filename, n, x.decode("utf-8", "replace").rstrip("\r\n")) for n, x in enumerate(stream))
-        else:
-            stream = {"gzip": gzip.GzipFile, "bzip2": bz2.BZ2File}.get(kind, lambda fileobj: fileobj)
-            opened = stream(fileobj=io.BytesIO(content)) if kind == "gzip" else bz2.BZ2File(io.BytesIO(content)) if kind == "bzip2" else io.BytesIO(content)
-            yield from (("", n, x.decode("utf-8", "replace").rstrip("\r\n")) for n, x in enumerate(opened))
-    except (OSError, EOFError, zipfile.BadZipFile):
-        return
-
-
 def listed(spark: SparkSession, roots: list[str]) -> DataFrame:
     """path, size and mtime_ms of all files under the roots, hidden ones left out; no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
@@ -75,28 +34,9 @@ def listed(spark: SparkSession, roots: list[str]) -> DataFrame:
 
 
 def scan_any(spark: SparkSession, root: str) -> DataFrame:
-    """The lines of ``framed`` under a root, but for empty ones and those over the limit."""
-    return within_limit(framed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)).where("payload != ''"))
-
-
-def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All lines of ``framed`` of the files at these very paths."""
-    return framed(spark.read.format("binaryFile").load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]))
-
-
-def framed(files: DataFrame) -> DataFrame:
-    """source, file, entry, line, arrival_ms and payload of all lines of binaryFile rows."""
-
-    def frame(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                lines = entry_lines(row.content, row.format)
-                while some := list(itertools.islice(lines, 50_000)):
-                    yield pd.DataFrame({"file": row.path, "entry": [x[0] for x in some], "line": [x[1] for x in some], "arrival_ms": row.arrival_ms, "payload": [x[2] for x in some]})
-
-    told = sniff(files).select("path", "format", "content", F.unix_millis("modificationTime").alias("arrival_ms"))
-    lines = told.mapInPandas(frame, "file string, entry string, line long, arrival_ms long, payload string")
-    return lines.withColumn("source", stem(F.col("file")))
+    """The lines of all files under a root, plain, compressed or in archives, but for empty ones and those over the limit."""
+    spark.dataSource.register(LineFiles)
+    return spark.read.format("seamark_lines").load(root).where("payload != ''")
 
 
 def message_lines(messages: DataFrame, limit: int = MAX_LINE_BYTES) -> DataFrame:
