@@ -56,6 +56,7 @@ class DecodeConfig:
     compression_level: int = 5
     scratch_dir: str | None = None
     eta_year: int | None = None
+    h3: bool = True
     dry_run: bool = False
 
     def validate(self) -> None:

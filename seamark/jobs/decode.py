@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.functions import times
+from seamark.functions import hexagons, times
 from seamark.jobs.config import DecodeConfig
 from seamark.operators import decode, dedup, jsonfeed, ordering, partitions
 
@@ -55,6 +55,12 @@ def bronze(spark: SparkSession, config: DecodeConfig, parts: list[tuple] | None,
     return first
 
 
+def with_cells(rows: DataFrame) -> DataFrame:
+    """Adds h3, the cell of about 15,000 square metres, to rows that have a place."""
+    placed = {"latitude", "longitude"} <= set(rows.columns)
+    return rows.withColumn("h3", hexagons.h3(F.col("latitude"), F.col("longitude"))) if placed else rows
+
+
 def timed(lines: DataFrame, config: DecodeConfig) -> DataFrame:
     """Lines with ts_ms, whole sentences only where fragments are put together."""
     keys = [k for k in times.GRAINS if k in lines.columns]
@@ -100,6 +106,7 @@ def run(spark: SparkSession, config: DecodeConfig, now_ms: int | None = None) ->
             continue
         seen = Observation(table)
         kept = dedup.dedup(rows, table, ("ts_ms", "source", "file", "line"), config.partition, tuple(keys)).drop("line")
+        kept = with_cells(kept) if config.h3 else kept
         order = ("hilbert", "ts_ms") if table in ("meteo", "atons") else ("ts_ms",)
         partitions.replace_partitions(kept.observe(seen, F.count("*").alias("n")), f"{config.output_dir}/{table}", keys, order, config.compression_level)
         counters[f"{table}_out"] = seen.get["n"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.functions import labels, spatial
+from seamark.functions import hexagons, labels, spatial
 from seamark.functions.settle import settled
 from seamark.operators import decode, encode, layouts
 from seamark.plans import base
@@ -46,6 +46,35 @@ def class_b_decode(t: Tables) -> DataFrame:
     return rows.select(c("line").alias("event_id"), "msg_type", "mmsi", "ais_class", "latitude", "longitude", "sog_knots", "heading_true", "raim")
 
 
+def long_range_fields() -> list:
+    return [(27, 6), (0, 2), (c("mmsi"), 30), (c("acc_raw"), 1), (c("raim_raw"), 1), (c("nav_raw"), 4), (F.expr("lon_raw div 1000"), 18), (F.expr("lat_raw div 1000"), 17), (c("event_id") % 64, 6), (c("event_id") % 512, 9), (0, 2)]
+
+
+@query(f"""with {EV} select event_id, 27 as msg_type, mmsi, 'Class A' as ais_class, lat_raw // 1000 / 600.0 as latitude, lon_raw // 1000 / 600.0 as longitude,
+cast(nullif(event_id % 64, 63) as double) as sog_knots, cast(nullif(event_id % 512, 511) as double) as cog, {cases('nav_raw', labels.NAV_STATUS, '(notDefined)')} as nav_status, acc_raw = 1 as high_accuracy, raim_raw = 1 as raim from ev""")
+def long_range_decode(t: Tables) -> DataFrame:
+    rows = decode.positions(parsed(t, long_range_fields()))
+    return rows.select(c("line").alias("event_id"), "msg_type", "mmsi", "ais_class", "latitude", "longitude", "sog_knots", "cog", "nav_status", "high_accuracy", "raim")
+
+
+def extended_fields() -> list:
+    return [(19, 6), *base.class_b_fields()[1:10], (0, 60), (0, 60), (0, 52), (c("raim_raw"), 1), (0, 6)]
+
+
+@query(f"with {EV} select event_id, 19 as msg_type, mmsi, 'Class B' as ais_class, {PLACE_SQL}, sog_raw / 10.0 as sog_knots, cog_raw / 10.0 as cog, cast(nullif(heading_raw, 511) as double) as heading_true, acc_raw = 1 as high_accuracy, raim_raw = 1 as raim from ev")
+def class_b_extended(t: Tables) -> DataFrame:
+    rows = decode.positions(parsed(t, extended_fields()))
+    return rows.select(c("line").alias("event_id"), "msg_type", "mmsi", "ais_class", "latitude", "longitude", "sog_knots", "cog", "heading_true", "high_accuracy", "raim")
+
+
+@query()
+def h3_cell(t: Tables) -> DataFrame:
+    """The cell of each decoded position, as a number and as it is written, and the coarser one that holds it."""
+    rows = decode.positions(parsed(t, base.position_fields()))
+    cell, coarse = (hexagons.h3(c("latitude"), c("longitude"), r) for r in (10, 5))
+    return rows.select(c("line").alias("event_id"), "latitude", "longitude", cell.alias("h3"), coarse.alias("h3_5")).withColumn("h3_text", F.lower(F.hex("h3")))
+
+
 @query(f"with {EV} select event_id, mmsi, 'Class A' as ais_class, {PLACE_SQL}, cast(nullif(sog_raw, 1023) as double) as sog_knots, cog_raw / 10.0 as cog, cast(nullif(event_id % 4096, 4095) as double) as altitude_m, cast(null as double) as heading_true, 'under way using engine' as nav_status, acc_raw = 1 as high_accuracy, raim_raw = 1 as raim from ev")
 def sar_decode(t: Tables) -> DataFrame:
     rows = decode.positions(parsed(t, base.sar_fields()))

@@ -64,6 +64,24 @@ def json_misc(t: Tables) -> DataFrame:
     return base.unionByName(aids)
 
 
+def rarer(t: Tables) -> DataFrame:
+    """By event_id modulo 3 an extended class B report, one of a search aircraft, and a position whose fields lie in the message itself."""
+    moving = [(c("sog_raw") / 10.0).alias("Sog"), (c("cog_raw") / 10.0).alias("Cog")]
+    extended = envelope("ExtendedClassBPositionReport", F.struct(*common(19), *moving, c("heading_raw").alias("TrueHeading")))
+    aircraft = envelope("StandardSearchAndRescueAircraftReport", F.struct(*common(9), *moving, (c("event_id") % 4096).cast("double").alias("Altitude")))
+    bare = F.to_json(F.struct(F.lit("PositionReport").alias("MessageType"), F.struct(c("mmsi").alias("MMSI")).alias("MetaData"), F.struct(*common(1), *moving, c("nav_raw").alias("NavigationalStatus")).alias("Message")))
+    which = c("event_id") % 3
+    return settled(sightings(t), payload=F.when(which == 0, extended).when(which == 1, aircraft).otherwise(bare), line=c("event_id"))
+
+
+@query(f"""with {EV} select event_id, cast(case event_id % 3 when 0 then 19 when 1 then 9 else 1 end as int) as msg_type, mmsi, case when event_id % 3 = 0 then 'Class B' else 'Class A' end as ais_class, {PLACE_SQL},
+sog_raw / 10.0 as sog_knots, cog_raw / 10.0 as cog, case when event_id % 3 = 0 then cast(nullif(heading_raw, 511) as double) end as heading_true, case when event_id % 3 = 1 then cast(event_id % 4096 as double) end as altitude_m,
+case event_id % 3 when 0 then '(notDefined)' when 1 then 'under way using engine' else {cases('nav_raw', labels.NAV_STATUS, '(notDefined)')} end as nav_status, raim_raw = 1 as raim from ev""")
+def json_rarer(t: Tables) -> DataFrame:
+    rows = jsonfeed.positions(jsonfeed.parse(rarer(t)))
+    return rows.select(c("line").alias("event_id"), "msg_type", "mmsi", "ais_class", "latitude", "longitude", "sog_knots", "cog", "heading_true", "altitude_m", "nav_status", "raim")
+
+
 @query(f"select event_id from events where {FAILED_SQL}")
 def json_failed(t: Tables) -> DataFrame:
     return jsonfeed.parse(feed(t)).where("kind = 'failed'").select("event_id")

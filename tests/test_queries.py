@@ -32,5 +32,9 @@ def test_same_rows(spark, sf_dir, name):
     assert key(got) == key(want)
 
 
+#: Tested against the grid's own properties and published cells in test_spatial.
+WITHOUT_SQL = {"h3_cell"}
+
+
 def test_all_queries_have_sql():
-    assert set(catalogue.queries()) == set(catalogue.oracle_sql())
+    assert set(catalogue.queries()) - WITHOUT_SQL == set(catalogue.oracle_sql())
