@@ -5,10 +5,12 @@ are one item from the start. An item's 8-character shingles give a one-permutati
 whose bands bring candidates together, all with all in a bucket of any size; exact Jaccard similarity
 decides, and distributed star joins form components. Of each component the document with the smallest
 doc_id keeps its first line; every other occurrence is removed. One pass over the texts writes what all
-later steps read: of each document the hashes of its lines, and of each new line of a batch its hash,
+later steps read: of each document the hashes of its lines, and of each line that a task hasn't met its hash,
 bands and text. Only the last step takes the texts again, and joins them to the numbers of removed lines.
-In joins of texts or of all lines the other side has one small row a key, and tasks hold theirs as a
-hash table, so that texts and lines are shuffled but not sorted.
+In joins of texts or of all lines the other side has one small row a key; where its partitions are measured as small,
+tasks hold theirs as a hash table, so that texts and lines are shuffled but not sorted, and elsewhere both sides are sorted.
+Lines are equal where their 64-bit names are: among n different lines about n^2 / 2^65 pairs are taken as one, so less than one in
+10^9 lines and some ten thousands in 10^12.
 
 Blank lines are never removed. Null texts stay null. Documents keep their rows even where no line is
 left (then the text is empty, or what blank lines leave). Rows with equal doc_ids count as one document,
@@ -29,12 +31,14 @@ from pyspark.sql import functions as F
 
 from seamark.llm.components import components
 from seamark.llm.neighbours import bucket_pairs, candidate_pairs, confirm, distinct_by_owner, joined
-from seamark.llm.storage import free_name, materialize
+from seamark.llm.storage import free_name, materialize, measured_hash_joins
 from seamark.llm.wordhash import chunks, mix, powers, span_hashes
 
 SHINGLE, BANDS, ROWS = 8, 12, 4
 BINS = BANDS * ROWS
 NONE = np.iinfo(np.uint32).max
+#: Names of lines that a task has met, before it forgets them; a line that comes again in a task isn't written twice.
+MET_LINES = 1 << 21
 
 
 def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,10 +83,18 @@ def line_sets(data: list[bytes]) -> list[np.ndarray]:
     return distinct_by_owner(*shingles([d.decode() for d in data]), len(data))
 
 
+def known(names: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Whether each of some is in sorted names."""
+    if not len(names):
+        return np.zeros(len(some), bool)
+    return names[np.minimum(np.searchsorted(names, some), len(names) - 1)] == some
+
+
 def read_lines(docs: DataFrame) -> DataFrame:
-    """A row for each document (id, version, hashes: of its lines, 0 for blank ones), and one for each new line of a batch (hash, norm, bands)."""
+    """A row for each document (id, version, hashes: of its lines, 0 for blank ones), and one for each line that a task meets first (hash, norm, bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, fresh = np.empty(0, np.uint64), np.empty(0, np.uint64)  # sorted names, and those that aren't merged yet
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for low, high in chunks(texts, 2 << 20):
@@ -98,7 +110,11 @@ def read_lines(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(first), pa.array(hashes.view(np.int64)))
                 yield row_batch(id=batch.column("id").slice(low, high - low), version=batch.column("version").slice(low, high - low), hashes=lists)
                 kinds, at = np.unique(hashes, return_index=True)
-                kinds, at = kinds[kinds != 0], at[kinds != 0]
+                new = (kinds != 0) & ~known(met, kinds) & ~known(fresh, kinds)
+                kinds, at = kinds[new], at[new]
+                fresh = np.sort(np.concatenate([fresh, kinds]))
+                if len(fresh) > MET_LINES // 16:
+                    met, fresh = np.sort(np.concatenate([met, fresh])) if len(met) < MET_LINES else fresh, fresh[:0]
                 new = [norms[i] for i in at]
                 for a, b in chunks(new, 1 << 16):
                     keys = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * BANDS), pa.array(bands(new[a:b]).ravel()))
@@ -129,10 +145,10 @@ def similar_parts(items: DataFrame, percent: int) -> DataFrame:
     pairs = materialize(pairs.union(more).distinct(), "line-pairs")
     # the texts of lines that met another, once for all comparisons
     met = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(crowded.select("id")).distinct()
-    texts = materialize(items.select("id", "norm").join(materialize(met, "met-lines").hint("shuffle_hash"), "id"), "met-texts")
+    texts = materialize(items.select("id", "norm").join(materialize(met, "met-lines"), "id"), "met-texts")
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        return texts.join(wanted.hint("shuffle_hash"), "id").select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
+        return texts.join(wanted, "id").select("id", "blocks", F.encode("norm", "utf-8").alias("data"))
 
     links = materialize(confirm(pairs, fetch, line_sets, percent), "line-links")
     return joined(components(links), crowded, fetch, line_sets, percent)
@@ -143,11 +159,11 @@ def removed_lines(told: DataFrame, parts: DataFrame) -> DataFrame:
     at = told.where("hashes is not null").select("id", "version", F.posexplode("hashes").alias("at", "hash")).where("hash != 0")
     members = parts.select(F.col("node").alias("hash"), "component").union(parts.select("component", "component").distinct())
     counted = at.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    grouped = counted.join(members.hint("shuffle_hash"), "hash", "left").where("n > 1 or component is not null")
+    grouped = counted.join(members, "hash", "left").where("n > 1 or component is not null")
     grouped = materialize(grouped.select("hash", F.coalesce("component", "hash").alias("component"), "first"), "grouped")
     keepers = grouped.groupBy("component").agg(F.min("first").alias("keep"))
     affected = materialize(grouped.join(keepers, "component").select("hash", "component", "keep"), "affected")
-    found = at.join(affected.hint("shuffle_hash"), "hash").groupBy("id", "version").agg(F.collect_set(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
+    found = at.join(affected, "hash").groupBy("id", "version").agg(F.collect_set(F.struct("at", "component", (F.col("id") == F.col("keep")).alias("own"))).alias("found"))
     return materialize(found, "found")
 
 
@@ -168,6 +184,7 @@ def strip_lines(texts: list[str], found: list[list[dict]]) -> tuple[list[str], l
 
 def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without repeated lines, with n_lines and n_removed added."""
+    measured_hash_joins(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
     key, version_key, found_key = (free_name(docs, n) for n in ("__id", "__version", "__found"))
@@ -187,7 +204,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     version = F.xxhash64("text")
     newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), version)).withColumn(version_key, version)
-    marked = keyed.join(found.toDF(key, version_key, found_key).hint("shuffle_hash"), [key, version_key], "left")
+    marked = keyed.join(found.toDF(key, version_key, found_key), [key, version_key], "left")
     marked = marked.select(*names, F.coalesce(newlines + 1, F.lit(0)).cast("long").alias("n_lines"), found_key)
     schema = marked.select(*names, "n_lines", F.lit(0).cast("long").alias("n_removed")).schema
     left = marked.mapInArrow(run, schema)

@@ -24,6 +24,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/seamark/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of a partition up to which a join may hold one side of it as a hash table, as measured when it runs.
+HASHED = 64 << 20
+
+
+def measured_hash_joins(spark: SparkSession) -> None:
+    """Lets Spark take a hash join, which needn't sort the other side, where all partitions of a side were measured as small; elsewhere it sorts and may spill. A caller's own setting stays."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    if spark.conf.get(key, "0") in ("0", "0b"):
+        spark.conf.set(key, str(HASHED))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and returns a reader of the files."""
     spark = df.sparkSession
