@@ -2,9 +2,9 @@
 
 A text's letters (lowered; anything else counts as a gap) give 1- to 3-grams, hashed into a fixed
 number of features and weighed by log(1 + count) and inverse document frequency. Each language has
-several centroids, found by spherical k-means on a bounded sample of labelled rows: about
-``per_language`` rows for each of the ``max_languages`` most frequent labels, drawn by a hash of the
-row's id. A text gets the language of the centroid with the largest cosine. Texts further from it
+several centroids, found by spherical k-means on a bounded sample of labelled rows: up to
+``per_language`` rows of each label, drawn by a hash of id, text and row, so that rows that repeat an id don't come together.
+All labels are learned; more than ``max_languages`` of them are an error. A text gets the language of the centroid with the largest cosine. Texts further from it
 than nearly all rows that the centroid was made of are marked as rejected.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything where no labelled
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.llm.wordhash import chunks
@@ -95,13 +95,20 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 == 1
 
 
-def fit(labelled: DataFrame, per_language: int = 400, max_languages: int = 200, centroids: int = 4) -> Model | None:
+def fit(labelled: DataFrame, per_language: int = 400, max_languages: int = 2000, centroids: int = 4) -> Model | None:
     """Learns from rows (doc_id, text, lang) with a language; None if there are none."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = labelled.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not counts:
         return None
-    rates = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, per_language / row["count"]))])
-    place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # half as many again as are wanted, and of these the first; so a task ranks a bounded number of rows of a label
+    rates = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, 1.5 * per_language / row["count"]))])
+    row = F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(7))
+    place = F.pmod(row, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = labelled.select("lang", "text", row.alias("row"), place.alias("place")).where(F.col("place") < rates[F.col("lang")])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "row"))
+    drawn = drawn.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,8 +118,8 @@ def fit(labelled: DataFrame, per_language: int = 400, max_languages: int = 200,
                 rows = [np.stack([at := np.flatnonzero(g), np.minimum(g[at], 65535)]).astype("<u2").tobytes() if h else None for g, h in zip(grams, has, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("lang").slice(low, high - low), pa.array(rows, pa.binary())], names=["lang", "grams"])
 
-    sample = labelled.where(place < rates[F.col("lang")]).select("lang", "text").mapInArrow(count, "lang string, grams binary")
-    rows = sorted((r["lang"], bytes(r["grams"])) for r in sample.where("grams is not null").collect())  # about per_language rows for each language
+    sample = drawn.mapInArrow(count, "lang string, grams binary")
+    rows = sorted((r["lang"], bytes(r["grams"])) for r in sample.where("grams is not null").collect())  # per_language rows for each language at most
     if not rows:
         return None
     found_in = sum(np.bincount(np.frombuffer(g, "<u2").reshape(2, -1)[0], minlength=FEATURES) for _, g in rows)

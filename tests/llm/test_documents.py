@@ -278,6 +278,68 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_and_no_label_is_lost(spark):
+    same = spark.createDataFrame([(7, f"one two {i}", "en") for i in range(3000)] + [(None, f"un deux {i}", "fr") for i in range(50)], "doc_id long, text string, lang string").repartition(5)
+    taken = []
+    real = langid.cluster
+    langid.cluster = lambda rows, k, steps=15: taken.append(len(rows)) or real(rows, k, steps)
+    try:
+        langid.fit(same, per_language=400)
+    finally:
+        langid.cluster = real
+    assert 300 <= taken[0] <= 400 and taken[1] == 50
+    many = spark.createDataFrame([(i, chr(0x4E00 + 5 * i) * 5 + "common words", f"l{i:03d}") for i in range(230) for _ in range(2)], "doc_id long, text string, lang string")
+    model = langid.fit(many)
+    assert len(set(model.languages)) == 230
+    got = langid.identify(many, model).collect()
+    assert all(r.lang_pred == f"l{r.doc_id:03d}" for r in got)
+    with pytest.raises(ValueError):
+        langid.fit(many, max_languages=229)
+
+
+def grams(text):
+    """Weighed features of a text, one n-gram after the other."""
+    points, mask = [ord(c) if c.isalpha() else 0 for c in text.lower() + "\n"], (1 << 64) - 1  # a text ends with a gap
+    out = Counter()
+    for n in (1, 2, 3):
+        for at in range(len(points) - n + 1):
+            if any(points[at : at + n]):
+                code = 0
+                for k, p in enumerate(points[at : at + n]):
+                    code = ((code + k + 1) * 0x9E3779B97F4A7C15 + p * 0xC2B2AE3D27D4EB4F) & mask
+                out[((code ^ code >> 29) * 0xBF58476D1CE4E5B9 & mask) >> 52] += 1
+    return out
+
+
+def test_languages_against_brute_force(spark):
+    rng = random.Random(9)
+    words = {"en": ["the", "and", "with", "thing"], "fr": ["le", "les", "étaient", "avec"], "x": ["le", "the", "zz"]}
+    rows = [(i, " ".join(rng.choice(words[k]) for _ in range(rng.randint(3, 9))), k) for i, k in enumerate(rng.choice(list(words)) for _ in range(90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    counts = [grams(t) for _, t, _ in rows]
+    seen = Counter(f for c in counts for f in c)
+    idf = {f: np.log((1 + len(rows)) / (1 + n)) + 1 for f, n in seen.items()}
+    vectors = np.zeros((len(rows), langid.FEATURES))
+    for v, c in zip(vectors, counts, strict=True):
+        for f, n in c.items():
+            v[f] = np.log1p(n) * idf[f]
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    languages = np.array([k for _, _, k in rows])
+    for k in words:
+        own = vectors[languages == k]
+        centres = model.centroids[[j for j, x in enumerate(model.languages) if x == k]]
+        near = (own @ centres.T).argmax(axis=1)
+        for j, centre in enumerate(centres):
+            mean = own[near == j].sum(axis=0)
+            assert centre @ mean / np.linalg.norm(mean) > 0.999  # k-means may stop a step before it stands still
+    cosines = vectors @ model.centroids.T
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for i, row in enumerate(cosines):
+        assert got[i].score == pytest.approx(row.max(), abs=1e-4)
+        assert got[i].lang_pred == model.languages[int(row.argmax())] or np.sort(row)[-1] - np.sort(row)[-2] < 1e-5
+
+
 def targets(sizes, weights=(3, 1, 2), share=1.5):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
     w = {s: weights[i % 3] for i, s in enumerate(names)}
