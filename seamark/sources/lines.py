@@ -5,10 +5,13 @@ Spark's text reader serves files whose names tell their compression, ``line_file
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seamark.sources.line_files import MAX_LINE_BYTES, LineFiles
+from seamark.sources.live import TcpSource, WebSocketSource
 
 
 def stem(path: Column) -> Column:
@@ -53,10 +56,28 @@ def kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest
     return message_lines(read.select("value", F.unix_millis("timestamp").alias("arrival_ms"), F.col("topic").alias("source")))
 
 
-def socket(spark: SparkSession, host: str, port: int, source: str) -> DataFrame:
-    """A stream of a TCP server's lines, for development; it keeps no offsets."""
-    read = spark.readStream.format("socket").options(host=host, port=str(port), includeTimestamp="true").load()
-    return within_limit(read.select(F.col("value").alias("payload"), F.unix_millis("timestamp").alias("arrival_ms"), F.lit(source).alias("source")))
+def tcp(spark: SparkSession, host: str, port: int, source: str, buffer: str, limit: int = MAX_LINE_BYTES) -> DataFrame:
+    """A stream of a TCP server's lines, joined again when it drops; ``buffer`` is a shared folder for lines that aren't committed."""
+    spark.dataSource.register(TcpSource)
+    options = {"host": host, "port": str(port), "source": source, "buffer": buffer, "maxLineLength": str(limit)}
+    return spark.readStream.format("seamark_tcp").options(**options).load()
+
+
+def websocket(spark: SparkSession, url: str, first_message: str, source: str, buffer: str, limit: int = MAX_LINE_BYTES) -> DataFrame:
+    """A stream of a WebSocket's messages, which the first message asks for."""
+    spark.dataSource.register(WebSocketSource)
+    options = {"url": url, "subscription": first_message, "source": source, "buffer": buffer, "maxLineLength": str(limit)}
+    return spark.readStream.format("seamark_websocket").options(**options).load()
+
+
+def subscription_message(key: str, boxes: list[list[list[float]]], mmsis: list[str] = (), types: list[str] = ()) -> str:
+    """The first message to a feed of AIS messages as JSON: its key, boxes (two corners each, latitude first), ships and message types."""
+    told: dict = {"APIKey": key, "BoundingBoxes": boxes}
+    if mmsis:
+        told["FiltersShipMMSI"] = [str(m) for m in mmsis]
+    if types:
+        told["FilterMessageTypes"] = list(types)
+    return json.dumps(told)
 
 
 def subscription(positions: DataFrame, boxes: list[tuple[float, float, float, float]], mmsis: list[int] | None = None, types: list[int] | None = None) -> DataFrame:
