@@ -1,4 +1,4 @@
-"""Fragments of a stream of lines put together with keyed state, and the routed tables written per micro-batch."""
+"""Fragments of a stream of lines put together with keyed state."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from seamark.operators import decode, dedup, ordering, partitions, slots
+from seamark.operators import ordering, slots
 
 PART = "struct<number:int,armor:string,fill:string,text:string,line:bigint>"
 STATE = f"line long, ts_ms long, tags string, start string, channel string, count int, parts array<{PART}>"
@@ -74,24 +74,3 @@ def reassemble_stream(lines: DataFrame, late: str = "1 day", timeout_ms: int = s
 
     put = parts.withWatermark("ts", late).groupBy("source", "group").applyInPandasWithState(gather, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return whole.unionByName(told(put))
-
-
-def write_tables(batch: DataFrame, root: str, eta_year: int, grain: str = "day") -> None:
-    """The six tables of one micro-batch; the parsed batch is kept while they are written, so lines are unpacked once."""
-    parsed = decode.parse(batch).persist()
-    try:
-        present = {r["kind"] for r in parsed.select("kind").distinct().collect()}  # eight kinds at most
-        for table, rows in decode.route(parsed, eta_year).items():
-            if decode.KINDS[table] in present:
-                kept = dedup.dedup(rows, table, ("source", "line", "payload"), grain).drop("line")
-                order = ("hilbert", "ts_ms") if table in ("meteo", "atons") else ("ts_ms",)
-                partitions.write_partitioned(kept, f"{root}/{table}", grain, order)
-    finally:
-        parsed.unpersist()
-
-
-def run(lines: DataFrame, root: str, checkpoint: str, eta_year: int, available_now: bool = True):
-    """Starts the query that reassembles, decodes and writes a stream of lines."""
-    whole = reassemble_stream(lines).where("complete")
-    writer = whole.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: write_tables(batch, root, eta_year))
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
