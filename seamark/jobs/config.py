@@ -57,6 +57,8 @@ class DecodeConfig:
     scratch_dir: str | None = None
     eta_year: int | None = None
     h3: bool = True
+    namespace: str | None = None
+    table_prefix: str | None = None
     dry_run: bool = False
 
     def validate(self) -> None:

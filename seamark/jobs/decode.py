@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seamark.functions import hexagons, times
 from seamark.jobs.config import DecodeConfig
-from seamark.operators import decode, dedup, jsonfeed, ordering, partitions
+from seamark.operators import catalogue, decode, dedup, jsonfeed, ordering, partitions
 
 STATE = "_state"
 
@@ -75,7 +75,8 @@ def run(spark: SparkSession, config: DecodeConfig, now_ms: int | None = None) ->
 
     Lines are unpacked once and written by kind, so that each table reads only its own. Output partitions are those of
     the input, and a run replaces those that it writes, so decoding a partition again gives the same tables. Bronze tables
-    only grow: a partition that had rows of a kind has them again. The watermark is saved after all tables are written.
+    only grow: a partition that had rows of a kind has them again. With a namespace, rows are added to its tables instead, and
+    decoding a partition again adds them again. The watermark is saved after all tables are written.
     """
     config.validate()
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
@@ -108,7 +109,12 @@ def run(spark: SparkSession, config: DecodeConfig, now_ms: int | None = None) ->
         kept = dedup.dedup(rows, table, ("ts_ms", "source", "file", "line"), config.partition, tuple(keys)).drop("line")
         kept = with_cells(kept) if config.h3 else kept
         order = ("hilbert", "ts_ms") if table in ("meteo", "atons") else ("ts_ms",)
-        partitions.replace_partitions(kept.observe(seen, F.count("*").alias("n")), f"{config.output_dir}/{table}", keys, order, config.compression_level)
+        seen_rows = kept.observe(seen, F.count("*").alias("n"))
+        if config.namespace is not None:
+            name = catalogue.table_name(table, config.table_prefix, config.namespace)
+            catalogue.append(seen_rows, name, config.partition, order, f"{config.output_dir}/{config.table_prefix or ''}{table}")
+        else:
+            partitions.replace_partitions(seen_rows, f"{config.output_dir}/{table}", keys, order, config.compression_level)
         counters[f"{table}_out"] = seen.get["n"]
         counters["rows_deduped"] += came - seen.get["n"]
     if config.incremental and candidate is not None:

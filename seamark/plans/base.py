@@ -6,6 +6,9 @@ query computes its result from the same integers, without ever decoding anything
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +46,16 @@ def query(sql: str | None = None):
     return register
 
 
+def scratch(t: Tables, name: str) -> str:
+    """A new folder for a query's own files in the shared folder; where none is named, one of this machine if all of Spark runs here."""
+    root = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", t.spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
+    return f"{root.rstrip('/')}/seamark/{name}-{uuid.uuid4().hex}"
+
+
 #: Common table expression with the integers of ``sightings``.
 EV = """ev as (
   select event_id, user_id, event_type, value, ts, epoch_us(ts) // 1000 as ts_ms, 200000000 + user_id as mmsi,

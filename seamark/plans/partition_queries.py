@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seamark.functions import spatial, times
-from seamark.operators import decode, ordering, partitions
+from seamark.operators import catalogue, decode, ordering, partitions
 from seamark.plans import base
-from seamark.plans.base import EV, KIND_SQL, Tables, c, query, sightings
+from seamark.plans.base import EV, KIND_SQL, Tables, c, query, scratch, sightings
 from seamark.plans.decode_queries import HILBERT_SQL, PLACE_SQL
 from seamark.sources import lines
 
 
-def scratch(t: Tables, name: str) -> str:
-    """A new folder for a query's own files: in the shared folder if the session names one."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}"
-    return f"{root.rstrip('/')}/seamark/{name}-{uuid.uuid4().hex}"
-
-
 def by_day(rows: DataFrame) -> DataFrame:
     return rows.select("*", *times.partition_columns(c("ts_ms"), "day"))
 
@@ -135,11 +128,13 @@ def sink_roundtrip(t: Tables) -> DataFrame:
 
 @query("select event_type, count(*) * 2 as n from events group by event_type")
 def catalog_append(t: Tables) -> DataFrame:
-    """Two appends to one table."""
-    path = scratch(t, "catalog")
-    for _ in range(2):
-        t.events.select("event_type", "event_id").write.mode("append").parquet(path)
-    return t.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))
+    """Two appends to one table of the catalogue, the second with a column more and a narrower number."""
+    name = catalogue.table_name(f"events_{uuid.uuid4().hex}", "kept")
+    where = scratch(t, "catalog")
+    first = sightings(t).select("ts_ms", "event_type", "event_id")
+    catalogue.append(first, name, location=where)
+    catalogue.append(first.withColumns({"event_id": c("event_id").cast("int"), "note": F.lit("second")}), name, location=where)
+    return t.spark.read.table(name).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query(f"with {EV}, placed as (select event_id, {PLACE_SQL} from ev), h as (select event_id, {HILBERT_SQL} as hilbert from placed) select event_id, row_number() over (order by hilbert, event_id) as place from h")

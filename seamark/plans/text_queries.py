@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions import bits, labels, sentences, times
-from seamark.operators import decode, encode
-from seamark.plans.base import EV, Tables, c, position_fields, query, sightings
+from seamark.jobs import config
+from seamark.jobs import decode as jobs
+from seamark.operators import decode, encode, partitions
+from seamark.plans.base import EV, Tables, c, position_fields, query, scratch, sightings
 from seamark.sources import lines
 
 
@@ -44,9 +46,13 @@ def label_from_path(t: Tables) -> DataFrame:
 
 @query("select 'a' as root, c_custkey as key, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer union all select 'b', s_suppkey, s_name, s_acctbal, null from supplier")
 def union_sources(t: Tables) -> DataFrame:
+    """Two roots of partitioned files, one of which lacks a column, read as one table."""
     a = t.customer.select(F.lit("a").alias("root"), c("c_custkey").alias("key"), c("c_name").alias("name"), c("c_acctbal").alias("balance"), c("c_mktsegment").alias("segment"))
     b = t.supplier.select(F.lit("b").alias("root"), c("s_suppkey").alias("key"), c("s_name").alias("name"), c("s_acctbal").alias("balance"))
-    return a.unionByName(b, allowMissingColumns=True)
+    roots = [scratch(t, f"root-{n}") for n in "ab"]
+    for rows, root in zip((a, b), roots, strict=True):
+        partitions.write_partitioned(rows.withColumn("ts_ms", c("key") % 4 * 86_400_000), root)
+    return partitions.read_partitioned(t.spark, roots).select("root", "key", "name", "balance", "segment")
 
 
 @query("select ts, event_type as source, props as payload from events where event_type = 'click' or value > 100")
@@ -54,6 +60,14 @@ def bronze_scan(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'click' or value > 100").select("ts", c("event_type").alias("source"), c("props").alias("payload"))
 
 
+@query("select epoch_us(ts) // 1000 as arrival_ms, event_type as source, 'events' as file, event_id as line, props as payload, strftime(ts, '%Y') as year, strftime(ts, '%m') as month, strftime(ts, '%d') as day from events")
+def bronze_roundtrip(t: Tables) -> DataFrame:
+    """Lines written as bronze partitions and read as the decode job reads them."""
+    root = scratch(t, "bronze")
+    partitions.write_bronze(t.events.select(c("event_type").alias("source"), times.millis("ts").alias("ts_ms"), F.lit("events").alias("file"), c("event_id").alias("line"), c("props").alias("payload")), root)
+    return jobs.bronze(t.spark, config.DecodeConfig((root,), root), None, 0)
+
+
 @query("select doc_id, coalesce(case when doc_id % 3 = 0 then null else lang end, source) as source from documents")
 def coalesce_source(t: Tables) -> DataFrame:
     own = F.when(c("doc_id") % 3 != 0, c("lang"))
