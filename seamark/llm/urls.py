@@ -3,7 +3,8 @@
 The list is first written as a blocked Bloom filter: a table of 256-bit blocks (four 64-bit words),
 one bit a word for each URL, about 2.5 bytes a URL. Pages meet it by block number; only possible
 hits go on with their URL to an exact hash join with the list, which removes false positives; all other
-pages pass it by. Both joins carry no hint: by the tables' measured sizes Spark broadcasts or shuffles.
+pages pass it by. A filter of up to ``FILTER_BYTES``, known from the number of its blocks, is broadcast, so that no page is
+shuffled for it; a larger one, and the list, meet pages in joins for which Spark shuffles or not by measured sizes.
 
 A null url, or one without "://", has an empty host and path, fits no rule and is allowed. Repeated
 rows are judged each. Empty inputs give no rows or block nothing. Other columns are ignored.
@@ -28,6 +29,8 @@ RULES = (
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 URLS_PER_BLOCK = 16
 WORDS = 4
+#: Bytes of a filter that each executor may hold, and of one of its blocks as a row: about 7 million URLs.
+FILTER_BYTES, BLOCK_BYTES = 64 << 20, 16 + 16 * (WORDS + 1) + 48
 
 
 def host_of(url: Column) -> Column:
@@ -74,6 +77,7 @@ def filter_urls(pages: DataFrame, blocklist: DataFrame, rules=RULES) -> DataFram
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     urls = parts.withColumn("canon", canonical(F.col("host"), F.col("path")))
     keyed = urls.withColumn("block", F.pmod(F.xxhash64(F.coalesce("canon", F.col("page_id").cast("string"))), F.lit(number)))
+    blocks = F.broadcast(blocks) if number * BLOCK_BYTES <= FILTER_BYTES else blocks
     met = keyed.join(blocks, "block", "left").withColumn("hash", F.xxhash64("canon", F.lit(1)))
     all_set = F.col("canon").isNotNull()
     for w in range(WORDS):

@@ -137,7 +137,9 @@ def judge(url):
     return host, path, max(fits, key=lambda r: len(r[0] + r[1]), default=None)
 
 
-def test_url_filter(spark):
+@pytest.mark.parametrize("most", [urls.FILTER_BYTES, 0])
+def test_url_filter(spark, monkeypatch, most):
+    monkeypatch.setattr(urls, "FILTER_BYTES", most)
     names = ["https://WWW.Example.com/en/1", "http://example.com/en/7x", "http://m.a.example.net/de/80?x", "x://b.org/es/?q", "http://b.org?x/es/", None, "no scheme", "a://", "http://q.io/p/", "http://www.q.io/p", "http://m.q.io/p?x=1#y", "http://a://b", "https://xcom/en/", "http://com/en/#f", "http://a.net/fr/1", "http://b.net/de/1", "http://net/de", "http://example.net/de/81"]
     pages = spark.createDataFrame([(i, u, 5) for i, u in enumerate(names)] + [(0, names[0], 6)], "page_id long, url string, block int")
     listed = spark.createDataFrame([("q.io/p",), (None,), ("q.io/p",), ("other/x",)], "canon string")
