@@ -13,8 +13,12 @@ from seamark.plans.base import ETA_YEAR, EV, KIND_SQL, TYPE_SQL, Tables, c, quer
 from seamark.plans.text_queries import cases
 
 
+def stored_lines(t: Tables, fields: list) -> DataFrame:
+    return settled(sightings(t), line=c("event_id"), payload=encode.sentence(fields)).select("ts_ms", "line", "payload")
+
+
 def parsed(t: Tables, fields: list) -> DataFrame:
-    return decode.parse(settled(sightings(t), line=c("event_id"), payload=encode.sentence(fields)).select("ts_ms", "line", "payload"))
+    return decode.parse(stored_lines(t, fields))
 
 
 @query(f"select event_id, cast({TYPE_SQL} as int) as msg_type from events")
