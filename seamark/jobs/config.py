@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import os
 import tomllib
 import types
@@ -82,6 +83,50 @@ class DecodeConfig:
         return PartitionFilter(**{g: getattr(self, g) for g in GRAINS}, since_ms=since_ms, source=self.filter_source)
 
 
+@dataclass(frozen=True)
+class CollectConfig:
+    """A feed of lines to time partitions under ``output_dir``; ``name`` is the query's, for ever, and batches are ``seconds`` apart."""
+
+    feed: str
+    output_dir: str = "data"
+    partition: str = "day"
+    source: str | None = None
+    name: str = "collect"
+    seconds: int = 10
+    max_line_length: int = 65536
+    tcp_host: str | None = None
+    tcp_port: int | None = None
+    websocket_url: str | None = None
+    api_key: str | None = None
+    bounding_boxes: str = "[[[-90, -180], [90, 180]]]"
+    filter_mmsi: tuple[str, ...] = ()
+    filter_message_types: tuple[str, ...] = ()
+    kafka_brokers: str | None = None
+    kafka_topic: str | None = None
+    kafka_auto_offset_reset: str = "latest"
+    buffer_dir: str | None = None
+    checkpoint_dir: str | None = None
+    status_file: str | None = None
+
+    def validate(self) -> None:
+        needs = {"tcp": ("tcp_host", "tcp_port"), "websocket": ("websocket_url",), "kafka": ("kafka_brokers", "kafka_topic")}
+        if self.feed not in needs:
+            raise ValueError(f"feed is one of {', '.join(needs)}")
+        missing = [name for name in needs[self.feed] if getattr(self, name) is None]
+        if missing:
+            raise ValueError(f"a {self.feed} feed needs {' and '.join(missing)}")
+        if self.partition not in GRAINS or not self.output_dir:
+            raise ValueError(f"output_dir is required and partition is one of {', '.join(GRAINS)}")
+        if self.seconds < 1 or self.max_line_length < 1:
+            raise ValueError("seconds and max_line_length are 1 or more")
+        if self.kafka_auto_offset_reset not in ("earliest", "latest"):
+            raise ValueError("kafka_auto_offset_reset is earliest or latest")
+        pair = lambda x: isinstance(x, list) and len(x) == 2
+        boxes = json.loads(self.bounding_boxes)
+        if not isinstance(boxes, list) or not boxes or not all(pair(box) and all(pair(corner) for corner in box) for box in boxes):
+            raise ValueError("bounding_boxes are JSON, two corners each")
+
+
 def check_common(config: IngestConfig | DecodeConfig) -> None:
     if not config.input_dir:
         raise ValueError("input_dir is required")
