@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,12 +87,14 @@ def not_completed(files: DataFrame, manifest: DataFrame, keys: list[str]) -> Dat
 
 
 def load_state(spark: SparkSession, path: str) -> int | None:
-    """The latest watermark saved at ``path``; None on a first run, or where the state can't be read."""
+    """The latest watermark saved at ``path``; None on a first run. Rows that can't be read, as after a broken write, don't count."""
     try:
-        # one row a run
-        return max(int(json.loads(r[0])["watermark_ms"]) for r in spark.read.text(path).collect())
-    except Exception:  # noqa: BLE001  a missing or broken state means a first run
+        rows = spark.read.text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    return rows.select(F.from_json("value", "watermark_ms long")["watermark_ms"].alias("ms")).agg(F.max("ms")).first()[0]
 
 
 def save_state(spark: SparkSession, path: str, watermark_ms: int) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions import sentences, times
@@ -116,9 +116,9 @@ select event_type, max(event_id) as committed, count(*) as durable from k
 where seq < coalesce((select min(seq) from k o where o.event_type = k.event_type and o.pending), 9223372036854775807) group by event_type""")
 def frontier(t: Tables) -> DataFrame:
     """Per stream, what may be committed: all batches before the first that isn't durable."""
-    order = Window.partitionBy("event_type").orderBy("event_id")
-    seen = t.events.select("event_type", "event_id", F.sum(F.when(c("value") > 400, 1).otherwise(0)).over(order).alias("gaps"))
-    return seen.where("gaps = 0").groupBy("event_type").agg(F.max("event_id").alias("committed"), F.count("*").alias("durable"))
+    gap = t.events.where("value > 400").groupBy("event_type").agg(F.min("event_id").alias("gap"))
+    seen = t.events.select("event_type", "event_id").join(gap, "event_type", "left").where("gap is null or event_id < gap")
+    return seen.groupBy("event_type").agg(F.max("event_id").alias("committed"), F.count("*").alias("durable"))
 
 
 @query("select event_type, date_trunc('hour', ts) as hour_start, count(*) as n, cast(sum(cast(round(value * 100) as bigint)) as bigint) as cents from events group by all")

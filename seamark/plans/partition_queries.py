@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seamark.functions import spatial, times
@@ -104,15 +104,25 @@ def route_partition_groups(t: Tables) -> DataFrame:
 
 @query("with s as (select event_type, event_id, row_number() over (partition by event_type order by ts, event_id) as place from events) select event_type, event_id, place from s")
 def sorted_batches(t: Tables) -> DataFrame:
-    order = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    return t.events.select("event_type", "event_id", F.row_number().over(order).cast("long").alias("place"))
+    return places_by_type(t)
+
+
+def places_by_type(t: Tables) -> DataFrame:
+    """Each event's place among those of its type: numbered within days of a type, so that no task sorts a type."""
+    rows = t.events.select("event_type", "event_id", "ts")
+    placed = ordering.places(rows, F.concat_ws("|", "event_type", F.date_format("ts", "yyyy-MM-dd")), "ts", "event_id")
+    first = placed.groupBy("event_type").agg(F.min("place").alias("first"))
+    return placed.join(first, "event_type").select("event_type", "event_id", (c("place") - c("first") + 1).alias("place"))
 
 
 @query("select event_type, cast((count(*) + 499) // 500 as bigint) as files from events group by event_type")
 def file_row_caps(t: Tables) -> DataFrame:
     """Files of at most 500 rows, written and counted."""
     path = scratch(t, "caps")
-    t.events.select("event_type", "event_id").repartition("event_type").sortWithinPartitions("event_type").write.option("maxRecordsPerFile", 500).partitionBy("event_type").parquet(path)
+    # rows of a file go to one task, and those of a type to many
+    numbered = places_by_type(t).withColumn("file", F.floor((c("place") - 1) / 500))
+    dealt = numbered.repartition("event_type", "file").sortWithinPartitions("event_type", "place")
+    dealt.select("event_type", "event_id").write.options(**partitions.zstd(3, 500)).partitionBy("event_type").parquet(path)
     back = t.spark.read.parquet(path).select("event_type", c("_metadata.file_path").alias("file"))
     return back.groupBy("event_type").agg(F.countDistinct("file").alias("files"))
 

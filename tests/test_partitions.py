@@ -47,6 +47,8 @@ def test_state(spark, tmp_path):
     assert partitions.cutoff(partitions.load_state(spark, path)) == 995_000
     partitions.save_state(spark, path, 2_000_000)
     assert partitions.load_state(spark, path) == 2_000_000
+    (tmp_path / "state/part-broken.txt").write_text('{"version": 1, "watermark_ms": 9')
+    assert partitions.load_state(spark, path) == 2_000_000
     (tmp_path / "bad").write_text("{")
     assert partitions.load_state(spark, f"file://{tmp_path}/bad") is None
 
