@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seamark.llm.storage import free_name, materialize
+from seamark.llm.storage import free_name, materialize, small
 from seamark.llm.wordhash import SPACE, Words, chunks, mix, span_hashes, windows, words
 
 #: Measures, and the hash and number of words of each distinct line.
@@ -171,9 +171,11 @@ def cleaned(docs: DataFrame, verdicts: DataFrame, row: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     told = materialize(verdicts.select(F.col("row_id").alias(row), "kept", F.col("removed").alias(removed)), "verdicts")
-    left = docs.join(told.where("kept").drop("kept"), row)  # the two branches share one exchange of the texts
-    same = left.where(F.col(removed).isNull())
-    cut = left.where(F.col(removed).isNotNull()).mapInArrow(run, docs.schema)
+    has = free_name(docs, "__has")
+    kept = docs.join(small(told.where("kept").select(row, F.col(removed).isNotNull().alias(has))), row)
+    same = kept.where(~F.col(has))
+    # only documents with boilerplate meet the lists of their lines
+    cut = kept.where(F.col(has)).join(told.where("kept").select(row, removed), row).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return same.select(*names).union(cut)

@@ -1,14 +1,16 @@
 """Embeddings and URLs against brute force, and the pipeline end to end."""
 
+import os
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from seamark.llm import embeddings, registry, urls
+from seamark.llm import embeddings, mixing, quality, registry, storage, urls
 from tests.llm.test_documents import roots
 
 
@@ -166,6 +168,55 @@ def test_pipeline(spark, sf_dir):
     assert pieces.where("start = 0").count() == docs.count()
 
 
+def test_tables_of_a_step_are_deleted(spark, tmp_path):
+    made = []
+    with storage.cleared(spark):
+        one = storage.materialize(spark.range(3), "one")
+        made.append(one.inputFiles()[0])
+        with storage.cleared(spark):
+            made.append(storage.materialize(one, "two").inputFiles()[0])
+        assert [os.path.exists(f.removeprefix("file://")) for f in made] == [True, False]
+        kept = storage.written(one, f"file://{tmp_path}/kept")
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in made) and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), storage.cleared(spark):
+        made.append(storage.materialize(spark.range(3), "three").inputFiles()[0])
+        1 / 0
+    assert not os.path.exists(made[-1].removeprefix("file://"))
+
+
+def test_row_numbers_stay(spark, tmp_path):
+    for n in range(3):
+        spark.range(n * 10, n * 10 + 7).withColumn("__path", F.lit("x")).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/a b%")
+    docs = spark.read.parquet(f"file://{tmp_path}/a b%")
+    one = {(r["id"], r["n"]) for r in storage.row_numbers(docs, "n").collect()}
+    two = {(r["id"], r["n"]) for r in storage.row_numbers(docs, "n").repartition(5).select("id", "n").collect()}
+    assert one == two and len({n for _, n in one}) == 21
+    other = storage.row_numbers(docs.select(F.explode(F.array("id", "id")).alias("id")), "n")
+    assert other.select("n").distinct().count() == 42
+
+
+@pytest.mark.parametrize("most", [storage.SMALL_ROWS, 0])
+def test_pipeline_with_joins_of_both_kinds(spark, sf_dir, monkeypatch, most):
+    monkeypatch.setattr(storage, "SMALL_ROWS", most)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = corpus_pipeline.quality_rules(spark, docs, sf_dir).select("doc_id", "text").collect()
+    found = quality.judged(docs).where("kept").select("doc_id", "removed").collect()
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in found)
+    cut = {r.doc_id for r in found if r.removed}
+    assert {r.doc_id for r in kept if r.text != texts[r.doc_id]} == cut
+    mixed = Counter(r[0] for r in corpus_pipeline.mix_sources(spark, docs, sf_dir).select("doc_id").collect())
+    assert mixed == Counter({r.doc_id: r.copies for r in mixing.mix(docs).where("copies > 0").collect()})
+
+
+def test_pipeline_leaves_little_behind(spark, sf_dir):
+    root = storage.shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(f"{root}/seamark"))
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    left = {name.rpartition("-")[0] for name in set(os.listdir(f"{root}/seamark")) - before}
+    assert left <= {"mixing", "pieces"}
+
+
 def test_pipeline_on_odd_documents(spark):
     """Nulls, repeats, clashing names and a long line in every stage; and the same of no rows."""
     rng = random.Random(2)
