@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents, with texts and n_chars
-as the stage leaves them. Rows are told apart by a row number that is written with them, so null and
+as the stage leaves them. Rows are told apart by their file and place in it, so null and
 repeated doc_ids are documents like others; names of such columns are made to differ from the caller's.
 
 quality rules: a null, empty or short text goes, as do depleted ones; boilerplate lines leave the others.
@@ -26,9 +26,9 @@ ORACLE_SQL = None
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a row number that stays, since it is written with them, and its column."""
+    """The documents with a row number that stays, and its column."""
     row = storage.free_name(docs, "__row")
-    return storage.materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    return storage.row_numbers(docs, row), row
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +44,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, row = numbered(docs)
     found = near_dups.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80)
     copies = storage.materialize(found.where("doc_id != component_id").select(F.col("doc_id").alias(row)), "copies")
-    return rows.join(copies, row, "left_anti").select(*docs.columns)
+    return rows.join(storage.small(copies), row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, row = numbered(docs)
     copies, copy = storage.free_name(rows, "__copies"), storage.free_name(rows, "__copy")
     dealt = mixing.mix(rows, row=row).where("copies > 0").select(F.col("row_id").alias(row), F.col("copies").alias(copies))
-    dealt = rows.join(storage.materialize(dealt, "dealt"), row)
+    dealt = rows.join(storage.small(storage.materialize(dealt, "dealt")), row)
     return dealt.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)).select(*docs.columns)
 
 
@@ -69,7 +69,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = storage.documents(spark, sf_dir)
+    """All stages; what a stage wrote on its way is deleted when its result is written, and that when the next one is."""
+    docs, before = storage.documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = storage.materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = storage.new_path(spark, name.replace(" ", "-"))
+        with storage.cleared(spark):
+            docs = storage.written(stage(spark, docs, sf_dir), path)
+        storage.delete(spark, before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
