@@ -16,11 +16,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from seamark.jobs import collect, decode, ingest
-from seamark.jobs.config import CollectConfig, DecodeConfig, IngestConfig, load, read
+from seamark.jobs import decode, ingest, listen
+from seamark.jobs.config import ListenConfig, DecodeConfig, IngestConfig, load, read
 from seamark.streaming import status
 
-JOBS = {"ingest": (IngestConfig, ingest.run), "decode": (DecodeConfig, decode.run), "collect": (CollectConfig, collect.run)}
+JOBS = {"ingest": (IngestConfig, ingest.run), "decode": (DecodeConfig, decode.run), "listen": (ListenConfig, listen.run)}
 NOTHING = 2
 
 

@@ -84,14 +84,14 @@ class DecodeConfig:
 
 
 @dataclass(frozen=True)
-class CollectConfig:
+class ListenConfig:
     """A feed of lines to time partitions under ``output_dir``; ``name`` is the query's, for ever, and batches are ``seconds`` apart."""
 
     feed: str
     output_dir: str = "data"
     partition: str = "day"
     source: str | None = None
-    name: str = "collect"
+    name: str = "listen"
     seconds: int = 10
     max_line_length: int = 65536
     tcp_host: str | None = None

@@ -8,12 +8,12 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seamark.jobs.config import CollectConfig
+from seamark.jobs.config import ListenConfig
 from seamark.sources import lines
 from seamark.streaming import status, tables
 
 
-def feed(spark: SparkSession, config: CollectConfig) -> DataFrame:
+def feed(spark: SparkSession, config: ListenConfig) -> DataFrame:
     """source, line, arrival_ms and payload of the configured feed."""
     kept = config.buffer_dir or f"{config.output_dir}/_buffer"
     if config.feed == "tcp":
@@ -25,7 +25,7 @@ def feed(spark: SparkSession, config: CollectConfig) -> DataFrame:
     return found.select(F.lit(config.source).alias("source") if config.source else "source", "line", "arrival_ms", "payload")
 
 
-def start(spark: SparkSession, config: CollectConfig):
+def start(spark: SparkSession, config: ListenConfig):
     """Starts the query and, if a status file is named, the listener that writes it; returns both."""
     config.validate()
     listener = status.StatusListener(config.status_file) if config.status_file else None
@@ -37,8 +37,8 @@ def start(spark: SparkSession, config: CollectConfig):
     return writer.trigger(processingTime=f"{config.seconds} seconds").start(), listener
 
 
-def run(spark: SparkSession, config: CollectConfig, most_seconds: float | None = None) -> dict[str, int]:
-    """Collects until the query fails, which raises, or for ``most_seconds``; returns the numbers of batches and lines."""
+def run(spark: SparkSession, config: ListenConfig, most_seconds: float | None = None) -> dict[str, int]:
+    """Listens until the query fails, which raises, or for ``most_seconds``; returns the numbers of batches and lines."""
     query, listener = start(spark, config)
     try:
         began = time.monotonic()

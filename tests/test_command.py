@@ -1,4 +1,4 @@
-"""The jobs from a shell, and a feed collected into bronze tables that the decode job reads."""
+"""The jobs from a shell, and a feed brought into bronze tables that the decode job reads."""
 
 import json
 import socket
@@ -8,7 +8,7 @@ import time
 import pytest
 
 from seamark import __main__ as command
-from seamark.jobs import collect, config
+from seamark.jobs import config, listen
 from tests.test_jobs import DAY_1, POSITION, put
 
 
@@ -34,7 +34,7 @@ def test_exit_codes(spark, tmp_path, capsys):
 @pytest.mark.parametrize("wrong", [{"feed": "carrier"}, {"feed": "tcp", "tcp_host": "x"}, {"feed": "websocket"}, {"feed": "kafka", "kafka_brokers": "b"}, {"feed": "websocket", "websocket_url": "ws://x", "bounding_boxes": "[[1, 2]]"}])
 def test_feeds_that_lack_settings(wrong):
     with pytest.raises(ValueError):
-        config.CollectConfig(**wrong).validate()
+        config.ListenConfig(**wrong).validate()
 
 
 def test_a_tcp_feed_becomes_tables(spark, tmp_path):
@@ -49,9 +49,9 @@ def test_a_tcp_feed_becomes_tables(spark, tmp_path):
 
     threading.Thread(target=serve, daemon=True).start()
     bronze, out, state = f"file://{tmp_path}/bronze", f"file://{tmp_path}/out", str(tmp_path / "status.json")
-    words = ["collect", "--feed", "tcp", "--tcp-host", "127.0.0.1", "--tcp-port", str(listening.getsockname()[1]), "--output-dir", bronze, "--seconds", "1", "--status-file", state]
+    words = ["listen", "--feed", "tcp", "--tcp-host", "127.0.0.1", "--tcp-port", str(listening.getsockname()[1]), "--output-dir", bronze, "--seconds", "1", "--status-file", state]
     settings = command.settings(command.parser().parse_args(words), {})
-    query, listener = collect.start(spark, settings)
+    query, listener = listen.start(spark, settings)
     try:
         limit = time.time() + 90
         while time.time() < limit and sum(p.numInputRows for p in query.recentProgress) < 30:
