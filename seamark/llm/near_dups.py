@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from seamark.llm.components import components
 from seamark.llm.neighbours import candidate_pairs, confirm, estimate_filter, joined, prefixes
 from seamark.llm.storage import materialize
-from seamark.llm.wordhash import chunks, mix, shingle_set, words
+from seamark.llm.wordhash import chunks, mix, released, shingle_set, words
 
 HASHES, TREES = 64, 16
 DEPTHS = (4, 6, 9, 13)
@@ -68,7 +68,7 @@ def sketch(docs: DataFrame, shingle: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(signs) + 1) * HASHES, pa.int32()), pa.array(np.concatenate(signs) if signs else np.empty(0, np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists, pa.array(bits, pa.binary())], names=["doc_id", "n_shingles", "set1", "set2", "signature", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set1 long, set2 long, signature array<int>, bits binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), "doc_id long, n_shingles long, set1 long, set2 long, signature array<int>, bits binary")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -93,7 +93,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
                 sets = [s.tobytes() for s in document_sets(batch.column("text").to_pylist(), shingle)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("blocks"), pa.array(sets, pa.binary())], names=["id", "blocks", "data"])
 
-        return met_texts.join(wanted, "id").select("id", "blocks", "text").mapInArrow(run, "id long, blocks array<long>, data binary")
+        return met_texts.join(wanted, "id").select("id", "blocks", "text").mapInArrow(released(run), "id long, blocks array<long>, data binary")
 
     to_sets = lambda sets: [np.frombuffer(d, np.uint64) for d in sets]
     links = materialize(confirm(likely, fetch, to_sets, percent), "links")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from seamark.llm.storage import materialize
 from seamark.llm.tokens import crc32s, encoder, text_chunks
+from seamark.llm.wordhash import released
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -47,7 +48,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int, with_i
                     arrays.append(pa.array([ids[x:y].astype("<u4").tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(arrays)])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE_SCHEMA + ", ids binary" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(cut), PIECE_SCHEMA + ", ids binary" * with_ids)
 
 
 def strategies(classes: int, depth: int) -> np.ndarray:

@@ -66,6 +66,17 @@ def measured_hash_joins(spark: SparkSession) -> None:
         spark.conf.set(key, str(HASHED))
 
 
+#: Bytes of an Arrow batch between Spark and Python. By default batches have ten thousand rows, whatever these hold, in the executor and in the worker.
+BATCH = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches in bytes too. A caller's own setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and returns a reader of the files."""
     return written(df, new_path(df.sparkSession, name))

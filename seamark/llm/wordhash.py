@@ -7,10 +7,11 @@ Words are compared by these 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -20,6 +21,18 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, which gives back what Arrow's pool keeps after each batch: workers outlive their tasks, and would hold the most that any of these took."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+
+    return lambda batches: run(tidied(batches))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing step of splitmix64."""
     x = x.astype(np.uint64, copy=True)

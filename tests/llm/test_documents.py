@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, neighbours, packing, quality, storage, token_files, tokens
+from seamark.llm import langid, licenses, line_dedup, mixing, near_dups, neighbours, packing, quality, storage, token_files, tokens, wordhash
 from seamark.llm.tokens import encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -263,6 +263,22 @@ def test_line_dedup_of_a_template(spark):
     assert removed == {i for i, first in want.items() if i != first}
 
 
+def test_arrow_batches_are_bounded_in_bytes(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    storage.bounded_batches(spark)
+    sizes = spark.range(4000, numPartitions=1).selectExpr("repeat('some text ', 1000) AS text").mapInArrow(lambda some: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in some), "n long").collect()
+    assert len(sizes) > 5 and max(r.n for r in sizes) < 2 * storage.BATCH
+    spark.conf.set(key, "1000000")
+    storage.bounded_batches(spark)
+    assert spark.conf.get(key).startswith("1000000")
+    spark.conf.unset(key)
+    released = []
+    monkeypatch.setattr(wordhash.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: released.append(1)})())
+    batches = [pa.RecordBatch.from_pydict({"x": [i]}) for i in range(3)]
+    assert list(wordhash.released(lambda some: some)(iter(batches))) == batches and len(released) == 3
+
+
 def test_language_id(spark):
     rng = random.Random(3)
     words = {"en": ["the", "and", "with", "thing", "which"], "fr": ["le", "les", "étaient", "avec", "eaux"], "de": ["der", "und", "nicht", "schön", "über"]}
