@@ -167,9 +167,11 @@ def estimate_filter(pairs: DataFrame, sketches: DataFrame, least: float) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(agree, "a long, b long")
 
 
-def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets: Callable[[list[bytes]], list[np.ndarray]], percent: int, cut: int = 64, together: int = 2000) -> DataFrame:
+def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets: Callable[[list[bytes]], list[np.ndarray]], percent: int, cut: int = 64, together: int = 2000, possible: Callable[[list[bytes], np.ndarray, np.ndarray, int], np.ndarray] | None = None) -> DataFrame:
     """The pairs whose sets have 100 * intersection >= percent * union.
 
+    ``possible`` tells which pairs of data, by their places, aren't ruled out by a bound that is cheaper than sets; only these are compared.
+
     ``pairs`` is a materialised table. Pairs are dealt by their smaller end, of many pairs in salted parts, to blocks of
     about ``together`` pairs, so that an item's data goes to a block once, not once a pair. ``fetch`` takes rows
     (id, blocks) and returns (id, blocks, data).
@@ -183,6 +185,13 @@ def confirm(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], to_sets:
     data = fetch(materialize(wanted, "wanted")).select(F.explode("blocks").alias("block"), "id", "data")
 
     def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.drop_duplicates("id", keep="last")
+        if possible:
+            at = pd.Series(np.arange(len(right)), index=right["id"])
+            left = left[possible(list(right["data"]), at[left["a"]].to_numpy(), at[left["b"]].to_numpy(), percent)]
+            right = right[right["id"].isin(np.union1d(left["a"], left["b"]))]
+        if not len(left):
+            return left[["a", "b"]]
         sets = dict(zip(right["id"], to_sets(list(right["data"])), strict=True))
         size = {i: len(v) for i, v in sets.items()}
         a, b = (left[c].map(size).to_numpy() for c in "ab")

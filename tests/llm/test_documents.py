@@ -263,6 +263,22 @@ def test_line_dedup_of_a_template(spark):
     assert removed == {i for i, first in want.items() if i != first}
 
 
+def test_bounds_lose_no_line(spark):
+    """Pairs of 0.8 and more pass the bound, most others don't; all wanted lines pass the bounded table."""
+    rng, lines = random.Random(3), []
+    for _ in range(60):
+        one = [rng.choice("abcdefghij klmé") for _ in range(rng.choice([5, 60, 300]))]
+        lines += ["".join(one), "".join(one[: len(one) * 9 // 10]), "".join(rng.choice("xyz ") if rng.random() < 0.02 else c for c in one)]
+    sets = [frozenset(x[i : i + 8] for i in range(max(1, len(x) - 7))) for x in lines]
+    a, b = np.triu_indices(len(lines), 1)
+    similar = np.array([100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]) for x, y in zip(a, b)])
+    kept = line_dedup.possible_pairs([x.encode() for x in lines], a, b, 80)
+    assert similar.sum() > 60 and not (similar & ~kept).any() and kept.sum() < len(a) // 10
+    ids = spark.range(20000)
+    passed = {r.id for r in line_dedup.may_be_in(ids, ids.where("id % 100 = 0")).collect()}
+    assert set(range(0, 20000, 100)) <= passed and len(passed) < 2000
+
+
 def test_arrow_batches_are_bounded_in_bytes(spark, monkeypatch):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.unset(key)
