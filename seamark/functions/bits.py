@@ -8,6 +8,8 @@ are shifted and masked out of these. Digits past the end read as 0.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,13 +76,22 @@ def flag(digits: Column | None, offset: int) -> Column:
 
 def text(digits: Column | None, offset: int, characters: int) -> Column:
     """Six-bit text without the blanks and @ at its end; null if nothing is left."""
+    return text_of([unsigned(digits, at, width) for at, width in text_places(offset, characters)], characters)
+
+
+def text_places(offset: int, characters: int) -> list[tuple[int, int]]:
+    """Offsets and widths of the numbers, of up to eight characters each, that hold a text."""
+    return [(offset + 6 * at, 6 * min(8, characters - at)) for at in range(0, characters, 8)]
+
+
+def text_of(numbers: list[Column], characters: int) -> Column:
+    """The text of the numbers at ``text_places``. Their digits are joined first, so that each is written into the plan once."""
     parts = []
-    for at in range(0, characters, 4):
-        n = min(4, characters - at)
-        value = F.shiftleft(unsigned(digits, offset + 6 * at, 6 * n), 24 - 6 * n)
-        letters = F.translate(F.base64(F.unhex(F.lpad(F.hex(value), 6, "0"))), BASE64, SIX_BIT_TEXT)
-        parts.append(F.substring(letters, 1, n))
-    return trimmed(F.concat(*parts))
+    for number, (_, width) in zip(numbers, text_places(0, characters), strict=True):
+        filled = -(-width // 24) * 24
+        parts.append(F.lpad(F.hex(F.shiftleft(number, filled - width)), filled // 4, "0"))
+    letters = F.translate(F.base64(F.unhex(F.concat(*parts))), BASE64, SIX_BIT_TEXT)
+    return trimmed(F.substring(letters, 1, characters))
 
 
 def trimmed(value: Column) -> Column:
@@ -117,3 +128,36 @@ def armor_bits(bits: Column, width: int) -> Column:
     padded = F.rpad(bits, 24 * groups, "0")
     digits = F.concat(*[F.lpad(F.conv(F.substring(padded, 24 * g + 1, 24), 2, 16), 6, "0") for g in range(groups)])
     return F.substring(F.translate(F.base64(F.unhex(digits)), BASE64, CANONICAL), 1, characters)
+
+
+def text_numbers(value: Column, characters: int) -> list[tuple[Column, int]]:
+    """The bits of ``text_bits`` as numbers of up to four characters, with their widths."""
+    found = []
+    for at in range(0, characters, 4):
+        n = min(4, characters - at)
+        coded = F.translate(F.rpad(F.substring(F.upper(value), at + 1, n), 4, "@"), SIX_BIT_TEXT, BASE64)
+        found.append((F.shiftright(F.conv(F.hex(F.unbase64(coded)), 16, 10).cast("long"), 6 * (4 - n)), 6 * n))
+    return found
+
+
+def armor_numbers(numbers: list[tuple[Column | int, int]]) -> Column:
+    """Armor of (number, width) pairs, low bits of each, filled with zeros to whole characters.
+
+    Numbers are shifted into words of WORD bits. Only one that crosses a word's end is written into the plan twice; a
+    string of all bits would be, with all fields in it, for every four characters.
+    """
+    total = sum(width for _, width in numbers)
+    fixed, parts, start = [0] * -(-total // WORD), [[] for _ in range(-(-total // WORD))], 0
+    for number, width in numbers:
+        end = start + width
+        for k in range(start // WORD, -(-end // WORD)):
+            first, last = max(start, k * WORD), min(end, (k + 1) * WORD)
+            mask, left = (1 << (last - first)) - 1, (k + 1) * WORD - last
+            if isinstance(number, int):
+                fixed[k] |= (number >> (end - last) & mask) << left
+            else:
+                parts[k].append(F.shiftleft(F.shiftright(number.cast("long"), end - last).bitwiseAND(F.lit(mask).cast("long")), left))
+        start = end
+    words = [reduce(Column.bitwiseOR, some, F.lit(literal).cast("long")) for literal, some in zip(fixed, parts, strict=True)]
+    digits = F.concat(*[F.lpad(F.hex(word), WORD // 4, "0") for word in words])
+    return F.substring(F.translate(F.base64(F.unhex(digits)), BASE64, CANONICAL), 1, -(-total // 6))

@@ -50,9 +50,20 @@ def kind() -> Column:
 
 def read(places: list, name: str) -> Column:
     """The field ``name`` at the place that the row's type has for it; null for other types. Rows are those of ``with_fields``."""
+    if places[name][0][3] == "c":
+        return bits.text_of(text_words(places, name), places[name][0][2])
+    return by_type([(types, (bits.signed if how == "s" else bits.unsigned)(None, offset, width)) for types, offset, width, how in places[name]])
+
+
+def text_words(places: list, name: str) -> list[Column]:
+    """The numbers that hold a text field; a text is as long in all types that have it."""
+    found = [[(types, bits.unsigned(None, at, width)) for at, width in bits.text_places(offset, characters)] for types, offset, characters, _ in places[name]]
+    return [by_type(some) for some in zip(*found, strict=True)]
+
+
+def by_type(values: list[tuple[tuple[int, ...], Column]]) -> Column:
     found = F.lit(None)
-    for types, offset, width, how in places[name]:
-        value = {"": bits.unsigned, "s": bits.signed, "c": bits.text}[how](None, offset, width)
+    for types, value in values:
         found = F.when(F.col("msg_type").isin(*types), value).otherwise(found)
     return found
 
@@ -111,21 +122,27 @@ def eta_ms(month: Column, day: Column, hour: Column, minute: Column, year: Colum
 def statics(parsed: DataFrame, eta_year: int) -> DataFrame:
     """``eta_year`` is the year of arrival times, which messages don't carry."""
     place = layouts.by_type(layouts.STATIC)
-    get = lambda name: read(place, name)
+    texts = {name: text_words(place, name) for name in place if place[name][0][3] == "c"}
+    rows = with_fields(parsed.where("kind = 'static'"), place)
+    # A step at a time: Java doesn't compile a method of over 8000 bytes, and one of all steps would have 29,785.
+    numbers = {name: read(place, name) for name in place if name not in texts} | {f"{name}_{k}": word for name, words in texts.items() for k, word in enumerate(words)}
+    rows = settled(rows, **{f"raw_{name}": number for name, number in numbers.items()})
+    get = lambda name: F.col(f"raw_{name}")
     part_a = (F.col("msg_type") == 24) & (get("part") == 0)
     part_b = (F.col("msg_type") == 24) & (get("part") == 1)
     auxiliary = part_b & F.startswith(F.col("mmsi").cast("string"), F.lit("98"))
     only_b = lambda c: F.when(~part_a, c)
     size = lambda name: F.when(~part_a & ~auxiliary, get(name)).cast("int").alias(f"dimension_to_{name}")
-    return with_fields(parsed.where("kind = 'static'"), place).select(
+    eta = eta_ms(get("eta_month"), get("eta_day"), get("eta_hour"), get("eta_minute"), F.lit(eta_year))
+    rows = settled(rows, raw_ship_type=F.coalesce(only_b(get("ship_type")), F.lit(0)), eta_ms=eta)
+    rows = settled(rows, **{f"raw_{name}": bits.text_of([get(f"{name}_{k}") for k in range(len(words))], place[name][0][2]) for name, words in texts.items()})
+    return rows.select(
         *key_columns(parsed),
         F.when(F.col("msg_type") == 24, "Class B").otherwise("Class A").alias("ais_class"),
         bits.null_if(get("imo"), 0).alias("imo_number"), only_b(get("call_sign")).alias("call_sign"),
-        F.when(~part_b, get("name")).alias("name"), labels.ship_type(F.coalesce(only_b(get("ship_type")), F.lit(0))).alias("ship_type"),
+        F.when(~part_b, get("name")).alias("name"), labels.ship_type(get("ship_type")).alias("ship_type"),
         size("bow"), size("stern"), size("port"), size("starboard"), (get("draught") / 10.0).alias("draught_m"),
-        get("destination").alias("destination"),
-        eta_ms(get("eta_month"), get("eta_day"), get("eta_hour"), get("eta_minute"), F.lit(eta_year)).alias("eta_ms"),
-        F.when(auxiliary, get("mothership")).alias("mothership_mmsi"), "station", "payload",
+        get("destination").alias("destination"), "eta_ms", F.when(auxiliary, get("mothership")).alias("mothership_mmsi"), "station", "payload",
     )
 
 

@@ -21,10 +21,19 @@ def message(fields: Sequence[tuple[Column | int | str, int]]) -> tuple[Column, i
 
 
 def sentence(fields: Sequence[tuple[Column | int | str, int]], channel: str = "A") -> Column:
-    coded, width = message(fields)
-    fill = -width % 6
-    body = F.concat(F.lit(f"AIVDM,1,1,,{channel},"), bits.armor_bits(coded, width), F.lit(f",{fill}"))
-    return closed_once(body)
+    return closed_once(unclosed(fields, channel))
+
+
+def unclosed(fields: Sequence[tuple[Column | int | str, int]], channel: str = "A") -> Column:
+    """The fields of ``message`` as a sentence's body. As a column of its own it is generated code; in a lambda function's argument it isn't."""
+    numbers = []
+    for value, size in fields:
+        if size < 0:
+            numbers += bits.text_numbers(F.lit(value) if isinstance(value, str) else value, -size)
+        else:
+            numbers.append((value, size))
+    fill = -sum(width for _, width in numbers) % 6
+    return F.concat(F.lit(f"AIVDM,1,1,,{channel},"), bits.armor_numbers(numbers), F.lit(f",{fill}"))
 
 
 def armored_sentence(coded: Column, width: Column, longest: int, channel: str = "A") -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seamark.functions import bits, sentences
 from seamark.operators import decode, encode, ordering
+from seamark.plans import base, decode_queries  # noqa: F401  registers the queries
 
 POSITION = "!AIVDM,1,1,,A,15RTgt0PAso;90TKcjM8h6g208CQ,0*4A"
 PART_1 = "!AIVDM,2,1,3,B,55P5TL01VIaAL@7WKO@mBplU@<PDhh000000001S;AJ::4A80?4i@E53,0*3E"
@@ -76,3 +77,38 @@ def test_type_8(spark):
     short = encode.sentence([(8, 6), (0, 2), (F.lit(2655619), 30), (0, 2), (1, 10), (31, 6), (F.lit(0xABCDE), 20)])
     [row] = decode.binary(decode.parse(spark.range(1).select(short.alias("payload")))).collect()
     assert (row.mmsi, row.dac, row.fid, row.payload_bits, row.payload_hex) == (2655619, 1, 31, 20, "ABCDE")
+
+
+def test_sentence_as_bits(spark):
+    """A sentence's armor is that of its bits in a row, whatever the widths, and for texts that six bits don't hold."""
+    rng, rows = random.Random(5), []
+    for text in ("", "abc", "A@ ", "ÉTOILE {x}", "Straße", "twenty characters and more", None):
+        rows += [(rng.randrange(1 << 30), -rng.randrange(1, 1 << 27), text) for _ in range(4)] + [(None, 1, text)]
+    a, b, t = F.col("a"), F.col("b"), F.col("t")
+    fields = [(5, 6), (b, 28), (a, 30), (1, 1), (t, -7), (a % 8, 3), (0, 60), (t, -20), (b, 33), (3, 2), (t, -5), (a, 30)]
+    coded, width = encode.message(fields)
+    frame = spark.createDataFrame(rows, "a long, b long, t string")
+    got = frame.select(F.get(F.split(encode.sentence(fields), ","), F.lit(5)).alias("one"), bits.armor_bits(coded, width).alias("other")).collect()
+    assert [r.one for r in got] == [r.other for r in got] and sum(r.one is None for r in got) == 11
+
+
+def test_sentence_holds_a_field_once(spark):
+    """Static reports have 18 groups of four characters; each used to hold all fields, and a text once for four of its letters."""
+    fields = base.static_fields(F.col("name"), F.lit("C"), F.lit("D"), F.lit(7).cast("long"))
+    frame = spark.createDataFrame([("x",)], "name string").select(encode.sentence(fields).alias("line"))
+    assert 5 <= frame._jdf.queryExecution().analyzed().toString().count("upper(name#") <= 10
+
+
+@pytest.mark.parametrize("name", ["static_decode", "static_fields"])
+def test_static_methods_are_compiled(spark, sf_dir, name):
+    """Java interprets methods of over 8000 bytes; statics were one of 29,785."""
+    tables = base.Tables(spark, sf_dir)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frames = [base.QUERIES[name](spark, sf_dir), decode.statics(decode.parse(tables.events.select(F.col("event_id").alias("line"), F.col("event_type").alias("payload"))), 2024)]
+        made = [frame._jdf.queryExecution().debug().codegenToSeq() for frame in frames]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [some.apply(k)._3().maxMethodCodeSize() for some in made for k in range(some.size())]
+    assert sizes and 0 < max(sizes) < 8000
